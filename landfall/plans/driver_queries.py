@@ -211,13 +211,18 @@ def airports(spark, folder):
 # ---------------------------------------------------------------- demography
 
 
+# Digits kept of averaged and summed doubles, whose last bits depend on the
+# order of addition.
+DIGITS = 4
+
+
 def _table_columns(df: DataFrame, table: schemas.Table) -> DataFrame:
-    """The table's column names on a demography frame, measures to 6 digits."""
+    """The table's column names on a demography frame, measures rounded."""
     names = schemas.LOAD_NAMES[table.name]
     types = dict(table.columns)
     return df.select(
         *[
-            F.round(F.col(f"`{source}`").cast("double"), 6).alias(c)
+            F.round(F.col(f"`{source}`").cast("double"), DIGITS).alias(c)
             if types[c] == schemas.NUMERIC
             else F.col(f"`{source}`").alias(c)
             for c, source in names.items()
@@ -261,7 +266,7 @@ def _state_sql(glue: str) -> str:
     """
 
 
-_ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in star.MEASURES[:-1])
+_ROUNDED = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in star.MEASURES[:-1])
 _CITY_KEYS = 'upper("City")'
 BY_CITY_SQL = f"""
 WITH raw AS ({shapes.DEMOGRAPHY_SQL}), by_city AS ({_city_sql(_CITY_KEYS)})
@@ -703,8 +708,8 @@ def arrivals_by_port_and_destination(spark, folder):
 
 @query(f"""{BY_STATE_SQL}
 SELECT c_custkey, n.n_name AS city, r.r_name AS state,
-       round(s.total_population, 6) AS state_total_population, s.race AS state_race,
-       round(t.median_age, 6) AS city_median_age
+       round(s.total_population, {DIGITS}) AS state_total_population,
+       s.race AS state_race, round(t.median_age, {DIGITS}) AS city_median_age
 FROM customer LEFT JOIN nation n ON c_nationkey = n_nationkey
 LEFT JOIN region r ON n_regionkey = r_regionkey
 LEFT JOIN by_state s ON r.r_name = s.state
@@ -712,32 +717,31 @@ LEFT JOIN by_city t ON n.n_name = t.city
 """)
 def snowflake_join(spark, folder):
     """Demography attached to the code tables, then one join to the facts."""
-    cities = demography_by_city(shapes.demography(spark, folder))
-    cities = materialize(spark, _table_columns(cities, schemas.CITY_DEMOGRAPHY), "city")
-    names = {c: c for c in ("state_code", *star.MEASURES)}
-    by_city_frame = cities.toDF("City", "State", *schemas.DEMOGRAPHY_MEANS, "Count", "Race")
-    states = demography_by_state(by_city_frame)
-    states = _table_columns(states, schemas.STATE_DEMOGRAPHY)
+    by_city_frame = materialize(
+        spark, demography_by_city(shapes.demography(spark, folder)), "city"
+    )
+    by_state_frame = demography_by_state(by_city_frame)
+    cities = by_city_frame.toDF("city", "state_code", *star.MEASURES)
+    states = by_state_frame.toDF("state", *star.MEASURES)
+    nation = load(spark, folder, "nation").withColumnRenamed("n_name", "city")
     region = load(spark, folder, "region").withColumnRenamed("r_name", "state")
-    codes = attach(
-        load(spark, folder, "nation").withColumnRenamed("n_name", "city"), region,
-        {"n_regionkey": "r_regionkey"}, {"state": "state"},
-    )
-    del names["state_code"]
+    codes = attach(nation, region, {"n_regionkey": "r_regionkey"}, {"state": "state"})
     codes = star.states_with_demography(codes, states)
     codes = star.ports_with_demography(codes, cities)
     codes = materialize(spark, codes, "codes")
-    wanted = {
-        c: c
-        for c in (
-            "city", "state", "state_total_population", "state_race", "city_median_age"
-        )
-    }
     customer = load(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    wanted = (
+        "city", "state", "state_total_population", "state_race", "city_median_age"
+    )
     joined = attach(
-        customer, sized_broadcast(codes), {"c_nationkey": "n_nationkey"}, wanted
+        customer,
+        sized_broadcast(codes),
+        {"c_nationkey": "n_nationkey"},
+        {c: c for c in wanted},
+    )
+    return joined.drop("c_nationkey").withColumns(
+        {c: F.round(c, DIGITS) for c in ("state_total_population", "city_median_age")}
     )
-    return joined.drop("c_nationkey")
 
 
 @query("""
