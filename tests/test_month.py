@@ -1,0 +1,145 @@
+"""The monthly job end to end."""
+
+import datetime
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from landfall import schemas
+from landfall.operators import star
+from landfall.operators.fact import clean_fact
+from landfall.plans.month import Inputs, KeyViolation, run_month
+from landfall.sources import warehouse
+from landfall.sources.readers import month_path, scan_fact
+from tests.test_labels import TEXT
+
+AIRPORTS = """ident,type,name,elevation_ft,continent,iso_country,iso_region,municipality,gps_code,iata_code,local_code,coordinates
+00A,heliport,Total Rf,11,NA,US,US-PA,Alcan,00A,,n/a,"-74.9, 40.0"
+"""
+DEMOGRAPHY = """City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count
+Alcan;Alaska;30.5;100;110;210;5;7;2.65;AK;White;60
+Alcan;Alaska;30.5;100;110;210;5;7;2.65;AK;Asian;5
+"""
+
+
+def write_fact(spark, folder, tag, year, month, n):
+    raw = spark.range(n).select(
+        F.col("id").cast("double").alias("cicid"),
+        F.lit(float(year)).alias("i94yr"),
+        F.lit(float(month)).alias("i94mon"),
+        F.lit(101.0).alias("i94cit"),
+        F.lit(102.0).alias("i94res"),
+        F.lit("ALC").alias("i94port"),
+        F.lit(1.0).alias("i94mode"),
+        F.lit("AK").alias("i94addr"),
+        (F.col("id") % 2 + 1).cast("double").alias("i94visa"),
+        F.lit(92478761130.0).alias("admnum"),
+        F.lit(20573.0).alias("arrdate"),
+        F.lit("10282016").alias("dtaddto"),
+        F.lit("dropped").alias("extra"),
+    )
+    for field in schemas.RAW_FACT_SCHEMA:
+        if field.name not in raw.columns:
+            raw = raw.withColumn(field.name, F.lit(None).cast(field.dataType))
+    raw.repartition(3).write.parquet(month_path(f"{folder}/i94_{{}}.parquet", tag))
+
+
+@pytest.fixture
+def setting(spark, tmp_path):
+    (tmp_path / "labels.txt").write_text(TEXT)
+    (tmp_path / "airports.csv").write_text(AIRPORTS)
+    (tmp_path / "cities.csv").write_text(DEMOGRAPHY)
+    write_fact(spark, tmp_path, "sep19", 2019, 9, 20)
+    write_fact(spark, tmp_path, "oct19", 2019, 10, 30)
+    database = f"m{uuid.uuid4().hex[:8]}"
+    warehouse.create_database(spark, database, str(tmp_path / "wh"))
+    inputs = Inputs(
+        fact=f"{tmp_path}/i94_{{}}.parquet",
+        demography=f"{tmp_path}/cities.csv",
+        airports=f"{tmp_path}/airports.csv",
+        labels=f"{tmp_path}/labels.txt",
+        airport_headers={"airport_type": "type"},
+    )
+    yield inputs, database, tmp_path
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def counts(spark, database):
+    return {
+        name: warehouse.read_table(spark, table, database).count()
+        for name, table in schemas.TABLES.items()
+    }
+
+
+SEP, OCT = datetime.date(2019, 9, 1), datetime.date(2019, 10, 1)
+
+
+def test_run_repeat_and_next_month(spark, setting):
+    inputs, database, folder = setting
+    report = run_month(spark, SEP, inputs, database, f"{folder}/stage", csv=f"{folder}/csv")
+    first = counts(spark, database)
+    assert first == {
+        "I94Immigration_form": 20, "I94CIT_I94RES_Code": 2, "I94Addr_Code": 2,
+        "US_Demography_by_State": 1, "I94Port_Code": 2, "I94Mode_Code": 2,
+        "I94Visa_Code": 2, "US_Demography_by_City": 1, "Airport_Information": 1,
+    }
+    assert all(r["n_duplicate_keys"] == r["n_incomplete"] == 0 for r in report.values())
+    assert (folder / "csv" / "I94Port_Code").exists()
+
+    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert counts(spark, database) == first
+    run_month(spark, OCT, inputs, database, f"{folder}/stage", strict_keys=True)
+    assert counts(spark, database) == first | {"I94Immigration_form": 50}
+
+    tables = {n: warehouse.read_table(spark, t, database) for n, t in schemas.TABLES.items()}
+    facts = tables[schemas.FACT.name]
+    assert star.unmatched_codes(facts, tables).count() == 0
+    row = facts.filter("cicid = 3 AND i94mon = 9").first()
+    assert row.arrival_date == "2016-04-29 00:00:00"
+    assert row.allowedtostay_date == "2016-10-28 00:00:00"
+    assert int(row.admnum) == 92478761130
+    by_visa = star.arrivals_by(facts, tables, ["citizenship", "visa"], ["i94mon"])
+    assert {(r.citizenship, r.visa_category, int(r.i94mon), r.arrivals) for r in by_visa.collect()} == {
+        ("ALBANIA", "BUSINESS", 9, 10), ("ALBANIA", "PLEASURE", 9, 10),
+        ("ALBANIA", "BUSINESS", 10, 15), ("ALBANIA", "PLEASURE", 10, 15),
+    }
+    city = tables["US_Demography_by_City"].first()
+    assert (city.city, city.state_code, city.race) == ("ALCAN", "ALASKA", "Asian / White")
+    assert int(city.average_household_size) == 3 and int(city["count"]) == 65
+    port = tables["I94Port_Code"].filter("i94port_code = 'ALC'").first()
+    assert (port.state, port.city) == ("AK", "ALCAN")
+
+
+def test_failed_cleaning_leaves_the_warehouse_alone(spark, setting):
+    inputs, database, folder = setting
+    (folder / "cities.csv").write_text(DEMOGRAPHY.replace("30.5", "old"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert spark.catalog.listTables(database) == []
+
+
+def test_strict_keys_stop_before_loading(spark, setting):
+    inputs, database, folder = setting
+    (folder / "airports.csv").write_text(AIRPORTS + AIRPORTS.splitlines()[1] + "\n")
+    with pytest.raises(KeyViolation, match="Airport_Information"):
+        run_month(spark, SEP, inputs, database, f"{folder}/stage", strict_keys=True)
+    assert spark.catalog.listTables(database) == []
+
+
+def test_clean_fact_columns_and_typed_dates(spark, setting):
+    raw = scan_fact(spark, setting[0].fact, "sep19")
+    clean = clean_fact(raw)
+    assert clean.columns == schemas.FACT_COLUMNS
+    assert dict(clean.dtypes)["arrival_date"] == "string"
+    assert dict(clean_fact(raw, typed_dates=True).dtypes)["arrival_date"] == "date"
+
+
+def test_fact_from_delimited_text(spark, tmp_path):
+    path = tmp_path / "i94_sep19.csv"
+    names = schemas.RAW_FACT_SCHEMA.names
+    values = ["1.0" if f.dataType.simpleString() == "double" else "x" for f in schemas.RAW_FACT_SCHEMA]
+    path.write_text(",".join(names) + "\n" + ",".join(values) + "\n")
+    raw = scan_fact(spark, f"{tmp_path}/i94_{{}}.csv", "sep19", "csv", {"header": "true"})
+    row = clean_fact(raw).first()
+    assert row.arrival_date == "1960-01-02 00:00:00" and row.allowedtostay_date is None
