@@ -46,16 +46,24 @@ def mdy_to_date(text: Column) -> Column:
     only the rest meet the capturing pattern. Eight digits leave exactly two
     each for month and day, so both branches accept the same dates.
     """
-    plain = F.concat_ws(
-        "-", F.substring(text, 5, 4), F.substring(text, 1, 2), F.substring(text, 3, 2)
+    dash = F.lit("-")
+    plain = F.concat(
+        F.substring(text, 5, 4),
+        dash,
+        F.substring(text, 1, 2),
+        dash,
+        F.substring(text, 3, 2),
     )
-    lenient = F.concat_ws(
-        "-",
+    lenient = F.concat(
         F.regexp_extract(text, MDY_PATTERN, 3),
+        dash,
         F.regexp_extract(text, MDY_PATTERN, 1),
+        dash,
         F.trim(F.regexp_extract(text, MDY_PATTERN, 2)),
     )
-    iso = F.when(text.rlike(_EIGHT_DIGITS), plain).when(text.rlike(MDY_PATTERN), lenient)
+    iso = F.when(text.rlike(_EIGHT_DIGITS), plain).when(
+        text.rlike(MDY_PATTERN), lenient
+    )
     # Days no month has fail the cast.
     return iso.try_cast("date")
 

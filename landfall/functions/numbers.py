@@ -8,21 +8,33 @@ from pyspark.sql import types as T
 
 from landfall.schemas import NUMERIC
 
+# Doubles below this magnitude hold every whole number exactly.
+_EXACT = 2**53
+
 
 def truncate_to_int(number: Column) -> Column:
     """Cut the fraction toward zero."""
     return number.cast("int")
 
 
-def to_numeric(value: Column) -> Column:
-    """numeric(18,0), ties rounded away from zero; out of range is an error."""
-    return value.cast(NUMERIC)
+def to_numeric(value: Column, source: T.DataType | None = None) -> Column:
+    """numeric(18,0), ties rounded away from zero; out of range is an error.
+
+    A double is turned into a decimal by way of its text, which dominates the
+    load of a wide table. Where ``source`` tells that the column is a double,
+    whole numbers, nearly all values, go by way of bigint instead.
+    """
+    if not isinstance(source, T.DoubleType):
+        return value.cast(NUMERIC)
+    whole = value.try_cast("bigint")
+    is_whole = (F.abs(value) < _EXACT) & (whole.cast("double") == value)
+    return F.when(is_whole, whole.cast(NUMERIC)).otherwise(value.cast(NUMERIC))
 
 
-def load_cast(value: Column, target: T.DataType) -> Column:
+def load_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast for a warehouse column. Text length is checked by the table itself."""
-    if isinstance(target, T.DecimalType):
-        return value.cast(target)
+    if target == NUMERIC:
+        return to_numeric(value, source)
     return value.cast("string")
 
 

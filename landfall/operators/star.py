@@ -126,11 +126,12 @@ def unmatched_codes(
     """
     types = dict(schemas.FACT.columns)
 
-    def pair(role: str, key: str, fact_key: str):
-        code = load_cast(F.col(key), types[fact_key]).cast("string")
+    def pair(df: DataFrame, role: str, key: str):
+        target = types[ROLES[role].fact_key]
+        code = load_cast(F.col(key), df.schema[key].dataType, target).cast("string")
         return F.struct(F.lit(role).alias("role"), code.alias("code"))
 
-    pairs = F.array(*[pair(r, ROLES[r].fact_key, ROLES[r].fact_key) for r in roles])
+    pairs = F.array(*[pair(facts, r, ROLES[r].fact_key) for r in roles])
     used = (
         facts.select(F.explode(pairs).alias("pair"))
         .select("pair.*")
@@ -140,11 +141,8 @@ def unmatched_codes(
     )
     known = None
     for r in roles:
-        role = ROLES[r]
-        one = (
-            tables[role.table]
-            .select(pair(r, role.table_key, role.fact_key).alias("pair"))
-            .select("pair.*")
-        )
+        table = tables[ROLES[r].table]
+        one = table.select(pair(table, r, ROLES[r].table_key).alias("pair"))
+        one = one.select("pair.*")
         known = one if known is None else known.unionByName(one)
     return used.join(known, ["role", "code"], "left_anti")

@@ -593,14 +593,14 @@ SELECT l_orderkey, l_linenumber, l_partkey,
 FROM lineitem
 """)
 def decimal_load(spark, folder):
-    quantity = F.col("l_quantity")
+    quantity, double = F.col("l_quantity"), T.DoubleType()
     return load(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        to_numeric(quantity / 2).alias("half_quantity"),
-        to_numeric(-quantity / 2).alias("minus_half"),
-        to_numeric(F.col("l_extendedprice")).alias("price"),
+        to_numeric(quantity / 2, double).alias("half_quantity"),
+        to_numeric(-quantity / 2, double).alias("minus_half"),
+        to_numeric(F.col("l_extendedprice"), double).alias("price"),
     )
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.numbers import load_cast
-from landfall.schemas import FACT, LOAD_NAMES, Table
+from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, Table
 
 
 def qualified(table: Table, database: str) -> str:
@@ -72,8 +72,8 @@ def fit_to_table(
     types = dict(table.columns)
     return df.select(
         *[
-            load_cast(F.col(f"`{names.get(c, c)}`"), types[c]).alias(c)
-            for c in table.storage_order
+            load_cast(F.col(f"`{source}`"), df.schema[source].dataType, types[c]).alias(c)
+            for c, source in ((c, names.get(c, c)) for c in table.storage_order)
         ]
     )
 
@@ -91,24 +91,26 @@ def refresh_dimension(
     )
 
 
+def _in_months(months: Sequence[tuple[int, int]]) -> Column:
+    """Whether a row is of one of the months: one lookup however many they are."""
+    number = F.col("i94yr") * 100 + F.col("i94mon")
+    return number.cast("long").isin([y * 100 + m for y, m in months])
+
+
 def _only_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
     """Fail the job, while it writes, on a row of a month that was not announced.
 
     Overwriting by partition would let one stray row replace all of its month.
     """
     year, month = F.col("i94yr"), F.col("i94mon")
-    announced = F.lit(False)
-    for y, m in months:
-        announced = announced | ((year == y) & (month == m))
     stray = F.raise_error(
         F.concat(
             F.lit("row outside the announced months, year/month "),
             F.concat_ws("/", year.cast("string"), month.cast("string")),
         )
     )
-    return df.withColumn(
-        "i94mon", F.when(announced, month).otherwise(stray.cast(df.schema["i94mon"].dataType))
-    )
+    kept = F.when(_in_months(months), month).otherwise(stray.cast(NUMERIC))
+    return df.withColumn("i94mon", kept)
 
 
 def load_months(
@@ -137,9 +139,6 @@ def append_new_rows(
     spark = df.sparkSession
     fitted = _only_months(fit_to_table(df, FACT), months)
     stored = spark.table(qualified(FACT, database)).select(*FACT.key)
-    year, month = F.col("i94yr"), F.col("i94mon")
-    touched = F.lit(False)
-    for y, m in months:
-        touched = touched | ((year == y) & (month == m))
-    new = fitted.join(stored.filter(touched), list(FACT.key), "left_anti")
+    stored = stored.filter(_in_months(months))
+    new = fitted.join(stored, list(FACT.key), "left_anti")
     new.select(*FACT.storage_order).write.insertInto(qualified(FACT, database))

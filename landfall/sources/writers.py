@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.schemas import FACT
 from landfall.functions.numbers import to_numeric
+from landfall.schemas import FACT
 
 
 def write_delimited(
@@ -36,7 +36,12 @@ def plain_numbers(df: DataFrame) -> DataFrame:
     """
     numeric = {n for n, t in FACT.columns if isinstance(t, T.DecimalType)}
     return df.select(
-        *[to_numeric(F.col(c)).alias(c) if c in numeric else c for c in df.columns]
+        *[
+            to_numeric(F.col(f.name), f.dataType).alias(f.name)
+            if f.name in numeric
+            else f.name
+            for f in df.schema
+        ]
     )
 
 

@@ -1,0 +1,113 @@
+"""What the plans must and must not contain."""
+
+import re
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from landfall import schemas
+from landfall.operators.demography import demography_by_city
+from landfall.operators.fact import clean_fact
+from landfall.operators.labels import parse_labels
+from landfall.operators.quality import duplicate_keys
+from landfall.operators.star import arrivals_by, unmatched_codes
+from landfall.plans import shapes
+from landfall.sources import warehouse
+from landfall.sources.readers import read_lines, scan_fact
+
+FOLDER = "/root/testdata/sf0.001"
+NEEDS_TABLES = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no given tables")
+UNWANTED = ("Python", "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@NEEDS_TABLES
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_no_python_and_no_cross_join(spark, name):
+    plan = physical(contract.queries()[name](spark, FOLDER))
+    assert not [word for word in UNWANTED if word in plan]
+
+
+@pytest.fixture
+def raw_month(spark, tmp_path):
+    empty = spark.createDataFrame([], schemas.RAW_FACT_SCHEMA)
+    empty.selectExpr("*", "cicid AS unused").write.parquet(f"{tmp_path}/i94_sep19.parquet")
+    return scan_fact(spark, f"{tmp_path}/i94_{{}}.parquet", "sep19")
+
+
+def test_cleaning_is_one_narrow_stage_that_reads_what_it_needs(raw_month):
+    plan = physical(clean_fact(raw_month))
+    assert "Exchange" not in plan
+    assert "unused" not in plan
+    narrow = physical(clean_fact(raw_month).select("cicid", "arrival_date"))
+    (read,) = re.findall(r"ReadSchema: struct<(.*?)>", narrow)
+    assert sorted(c.split(":")[0] for c in read.split(",")) == ["arrdate", "cicid"]
+
+
+def test_filters_reach_the_scan(raw_month):
+    plan = physical(clean_fact(raw_month).filter("i94port = 'ALC'"))
+    assert "EqualTo(i94port,ALC)" in plan
+
+
+@NEEDS_TABLES
+def test_demography_aggregates_partially_before_each_shuffle(spark):
+    """First by hash over the raw rows, sets only over the small remainder."""
+    plan = physical(demography_by_city(shapes.demography(spark, FOLDER)))
+    lines = [line for line in plan.splitlines() if "Aggregate" in line or "Exchange hash" in line]
+    kinds = [re.search(r"(ObjectHashAggregate|HashAggregate|Exchange)", x)[1] for x in lines]
+    assert kinds == [
+        "ObjectHashAggregate", "Exchange", "ObjectHashAggregate",
+        "HashAggregate", "Exchange", "HashAggregate",
+    ]
+
+
+@NEEDS_TABLES
+def test_counting_comes_before_the_dimension_joins(spark):
+    facts = clean_fact(shapes.arrivals(spark, FOLDER))
+    tables = shapes.star_tables(spark, FOLDER)
+    plan = physical(arrivals_by(facts, tables, ["citizenship", "visa"], ["i94mon"]))
+    first_outer_join = plan.index("LeftOuter")
+    assert "partial_count(1)" in plan[first_outer_join:]
+
+
+@NEEDS_TABLES
+def test_unmatched_codes_scan_the_facts_once(spark):
+    facts = clean_fact(shapes.arrivals(spark, FOLDER))
+    plan = physical(unmatched_codes(facts, shapes.star_tables(spark, FOLDER)))
+    assert plan.count("lineitem.parquet") == 1
+
+
+@NEEDS_TABLES
+def test_key_check_reads_only_the_key(spark):
+    plan = physical(duplicate_keys(shapes.load(spark, FOLDER, "lineitem"), ["l_orderkey"]))
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+    assert "partial_count(1)" in plan
+
+
+def test_month_filters_prune_partitions_and_one_month_loads_without_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE pruned LOCATION '{tmp_path}'")
+    try:
+        warehouse.create_tables(spark, [schemas.FACT], "pruned")
+        facts = warehouse.read_table(spark, schemas.FACT, "pruned")
+        plan = physical(facts.filter("i94yr = 2019 AND i94mon = 9").select("cicid"))
+        assert re.search(r"PartitionFilters: \[.*i94yr.*2019.*i94mon.*9", plan)
+        assert "ReadSchema: struct<cicid:decimal(18,0)>" in plan
+        fitted = warehouse.fit_to_table(facts, schemas.FACT)
+        assert "Exchange" not in physical(fitted)
+    finally:
+        spark.sql("DROP DATABASE pruned CASCADE")
+
+
+def test_label_windows_are_bounded_by_split(spark, tmp_path):
+    """Only the one-row-per-split summary is ordered over a whole file."""
+    (tmp_path / "labels.txt").write_text("/* A - a */\n1 = x\n")
+    plan = physical(parse_labels(read_lines(spark, str(tmp_path))))
+    windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
+    assert len(windows) == 2
+    partitions = [re.findall(r"\], \[([^\]]*)\], \[", w)[-1] for w in windows]
+    assert sorted(len(p.split(",")) for p in partitions) == [1, 2]
+    assert "SinglePartition" not in plan
