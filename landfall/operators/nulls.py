@@ -43,7 +43,7 @@ def normalize_na(
     """Turn the tokens into NULL in string columns (all of them by default)."""
     strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     chosen = set(strings if columns is None else columns)
-    tokens = list(tokens)
+    tokens = [F.lit(t) for t in tokens]
     return df.select(
         *[
             F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c)

@@ -841,3 +841,66 @@ FROM keys
 """)
 def pk_report(spark, folder):
     return key_report(shapes.demography(spark, folder), ["City", "State"])
+
+
+# ---------------------------------------------------------------- monthly job
+
+# All orders as the file of one month whose codes are customers, as are the
+# codes of the label text.
+_RUN_MONTH = date(2016, 4, 1)
+_RUN_SHAPE = shapes.ARRIVALS_PER_ORDER | {
+    "i94yr": "CAST(2016 AS DOUBLE)",
+    "i94mon": "CAST(4 AS DOUBLE)",
+    "i94cit": "CAST(o_custkey AS DOUBLE)",
+    "i94res": "CAST(o_custkey AS DOUBLE)",
+    "i94port": "@text(o_custkey)",
+    "i94mode": "CAST(o_custkey AS DOUBLE)",
+    "i94addr": "@text(o_custkey)",
+    "i94visa": "CAST(o_custkey AS DOUBLE)",
+}
+
+
+@query(f"""{LABELS_SQL},
+  ports AS ({_PORTS_SQL}),
+  raw AS ({shapes.select_sql(_RUN_SHAPE, "orders")})
+SELECT CAST(cicid AS BIGINT) AS cicid, c.value AS citizenship, r.value AS residence,
+       p.city AS port_city, p.state AS port_state, m.value AS transportation,
+       a.value AS destination, v.value AS visa_category,
+       {DAY_TEXT_SQL.format("arrdate")} AS arrival_date,
+       {MDY_TEXT_SQL.format("dtaddto")} AS allowedtostay_date
+FROM raw
+LEFT JOIN entries c ON c.block_key = 'I94CIT & I94RES' AND c.code = i94port
+LEFT JOIN entries r ON r.block_key = 'I94CIT & I94RES' AND r.code = i94port
+LEFT JOIN ports p ON p.code = i94port
+LEFT JOIN entries m ON m.block_key = 'I94MODE' AND m.code = i94port
+LEFT JOIN entries a ON a.block_key = 'I94ADDR' AND a.code = i94port
+LEFT JOIN entries v ON v.block_key = 'I94VISA' AND v.code = i94port
+""")
+def month_run(spark, folder):
+    """Raw files in, the monthly job twice, the enriched fact table out."""
+    base = scratch_path(spark, "run")
+    orders = load(spark, folder, "orders").selectExpr(*SPARK.columns(_RUN_SHAPE))
+    orders.write.parquet(f"{base}/apr16.parquet")
+    write_delimited(shapes.demography(spark, folder), f"{base}/cities", sep=";")
+    airport_rows = load(spark, folder, "customer").selectExpr(*SPARK.columns(AIRPORT_SHAPE))
+    write_delimited(airport_rows, f"{base}/airports")
+    inputs = Inputs(
+        fact=f"{base}/{{}}.parquet",
+        demography=f"{base}/cities",
+        airports=f"{base}/airports",
+        labels=_write_labels(spark, folder),
+    )
+    database = _new_database(spark)
+    for _ in range(2):
+        run_month(spark, _RUN_MONTH, inputs, database, f"{base}/stage")
+    tables = {
+        name: warehouse.read_table(spark, table, database)
+        for name, table in schemas.TABLES.items()
+    }
+    facts = star.enrich(tables[schemas.FACT.name], tables)
+    return facts.select(
+        F.col("cicid").cast("bigint").alias("cicid"),
+        *_ROLE_COLUMNS,
+        "arrival_date",
+        "allowedtostay_date",
+    )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall import schemas
 from landfall.operators.airport import clean_airport
@@ -71,13 +73,15 @@ def clean_dimensions(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame
 
 
 def check_keys(frames: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
-    """The key report of every frame, as it would be loaded."""
-    reports = {}
+    """The key report of every frame, as it would be loaded, in a single job."""
+    reports = []
     for name, frame in frames.items():
         table = schemas.TABLES[name]
-        report = key_report(fit_to_table(frame, table).select(*table.key), table.key)
-        reports[name] = report.first().asDict()
-    return reports
+        report = key_report(fit_to_table(frame, table, columns=table.key), table.key)
+        reports.append(report.select(F.lit(name).alias("table"), "*"))
+    combined = functools.reduce(DataFrame.unionByName, reports)
+    rows = [row.asDict() for row in combined.collect()]
+    return {row.pop("table"): row for row in rows}
 
 
 def run_month(

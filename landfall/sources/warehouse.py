@@ -61,19 +61,24 @@ def read_table(spark: SparkSession, table: Table, database: str) -> DataFrame:
 
 
 def fit_to_table(
-    df: DataFrame, table: Table, names: Mapping[str, str] | None = None
+    df: DataFrame,
+    table: Table,
+    names: Mapping[str, str] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Columns picked by name, cast to the table's types, in storage order.
 
-    ``names`` maps table columns to frame columns; by default the frames of
-    this package are known. Numbers round to whole ones, ties away from zero.
+    ``columns`` limits the result to some of the table's columns. ``names`` maps
+    table columns to frame columns; by default the frames of this package are
+    known. Numbers round to whole ones, ties away from zero.
     """
     names = LOAD_NAMES.get(table.name, {}) if names is None else names
     types = dict(table.columns)
+    columns = table.storage_order if columns is None else columns
     return df.select(
         *[
             load_cast(F.col(f"`{source}`"), df.schema[source].dataType, types[c]).alias(c)
-            for c, source in ((c, names.get(c, c)) for c in table.storage_order)
+            for c, source in ((c, names.get(c, c)) for c in columns)
         ]
     )
 
