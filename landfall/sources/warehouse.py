@@ -118,20 +118,23 @@ def _only_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
     return df.withColumn("i94mon", kept)
 
 
+def _spread(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """Keep the number of files per month small, and their sizes even.
+
+    One month is written where its rows lie. Several at once are rebalanced by
+    month first, so that no task writes a file into every month; adaptive
+    execution splits the months that are large and joins the small ones, so one
+    month with a third of all rows is no obstacle.
+    """
+    return df.hint("rebalance", "i94yr", "i94mon") if len(months) > 1 else df
+
+
 def load_months(
     df: DataFrame, months: Sequence[tuple[int, int]], database: str
 ) -> None:
-    """Load complete months into the fact table; loading again changes nothing.
-
-    One month is written where its rows lie, without a shuffle. Several months
-    at once are first rebalanced by month, so that no task writes a file into
-    every month; adaptive execution splits the months that are large and joins
-    the small ones, so one month with a third of all rows is no obstacle.
-    """
+    """Load complete months into the fact table; loading again changes nothing."""
     fitted = _only_months(fit_to_table(df, FACT), months)
-    if len(months) > 1:
-        fitted = fitted.hint("rebalance", "i94yr", "i94mon")
-    fitted.write.insertInto(qualified(FACT, database), overwrite=True)
+    _spread(fitted, months).write.insertInto(qualified(FACT, database), overwrite=True)
 
 
 def append_new_rows(
@@ -141,9 +144,8 @@ def append_new_rows(
 
     Only the announced months of the table are read, and of them only the key.
     """
-    spark = df.sparkSession
     fitted = _only_months(fit_to_table(df, FACT), months)
-    stored = spark.table(qualified(FACT, database)).select(*FACT.key)
-    stored = stored.filter(_in_months(months))
-    new = fitted.join(stored, list(FACT.key), "left_anti")
-    new.select(*FACT.storage_order).write.insertInto(qualified(FACT, database))
+    stored = df.sparkSession.table(qualified(FACT, database)).select(*FACT.key)
+    new = fitted.join(stored.filter(_in_months(months)), list(FACT.key), "left_anti")
+    new = _spread(new.select(*FACT.storage_order), months)
+    new.write.insertInto(qualified(FACT, database))

@@ -144,14 +144,45 @@ def test_partial_files_add_only_new_rows(spark, database):
     assert month_counts(spark, database) == {month: 8}
 
 
-def test_many_months_with_a_hot_one_make_few_files(spark, database, tmp_path):
+def files_per_month(folder):
+    counts = {}
+    for file in folder.rglob("part-*.parquet"):
+        counts[file.parent] = counts.get(file.parent, 0) + 1
+    return counts
+
+
+def test_many_months_with_a_hot_one(spark, database, tmp_path):
+    """Several tasks write the hot month; others share at most their hash bucket's."""
     warehouse.create_tables(spark, [schemas.FACT], database)
-    months = {(2018, m): 50 for m in range(1, 13)} | {(2019, 1): 400}
+    months = {(2018, m): 50 for m in range(1, 13)} | {(2019, 1): 6000}
     facts = fact_rows(spark, months).repartition(16)
-    warehouse.load_months(facts, list(months), database)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        warehouse.load_months(facts, list(months), database)
+        loaded = files_per_month(tmp_path / database)
+        warehouse.append_new_rows(facts, list(months), database)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert month_counts(spark, database) == months
+    assert len(loaded) == len(months)
+    *usual, hot = sorted(loaded.values())
+    assert hot > 1
+    assert usual.count(1) > len(usual) / 2
+
+
+def test_appending_to_many_months_makes_few_files(spark, database, tmp_path):
+    warehouse.create_tables(spark, [schemas.FACT], database)
+    months = {(2018, m): 50 for m in range(1, 13)}
+    for _ in range(2):
+        warehouse.append_new_rows(fact_rows(spark, months).repartition(16), list(months), database)
     assert month_counts(spark, database) == months
-    files = list((tmp_path / database).rglob("part-*.parquet"))
-    assert len(files) < 16 * len(months) / 2
+    assert set(files_per_month(tmp_path / database).values()) == {1}
 
 
 def test_csv_month_keeps_digits(spark, tmp_path):
