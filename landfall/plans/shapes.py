@@ -91,10 +91,10 @@ ARRIVALS = {
     "i94bir": "l_quantity",
     "i94visa": "CAST(o_orderkey % 4 AS DOUBLE)",
     "visapost": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END",
-    "occup": "CAST(NULL AS VARCHAR(10))",
+    "occup": "@text(NULL)",
     "entdepa": "l_returnflag",
     "entdepd": "l_linestatus",
-    "entdepu": "CAST(NULL AS VARCHAR(10))",
+    "entdepu": "@text(NULL)",
     "matflag": "CASE WHEN l_linestatus = 'F' THEN 'M' END",
     "biryear": "2016 - l_quantity",
     "gender": "CASE WHEN l_partkey % 2 = 0 THEN 'F' ELSE 'M' END",
@@ -111,7 +111,7 @@ ARRIVALS = {
 
 # The same file out of orders alone, one row per key.
 ARRIVALS_PER_ORDER = {
-    name: "CAST(NULL AS VARCHAR(10))" for name in ARRIVALS if name != "ignored"
+    name: "@text(NULL)" for name in ARRIVALS if name != "ignored"
 } | {
     name: ARRIVALS[name]
     for name in (
