@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from landfall.plans.driver_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -46,7 +47,7 @@ def rows_of(names, rows):
 UNWANTED = ("Python", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     result = contract.queries()[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
