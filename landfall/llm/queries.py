@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import packing
+from landfall.llm import (
+    cross_entropy,
+    decontamination,
+    lattice,
+    line_dedup,
+    packing,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from landfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +30,92 @@ def query(function: Query) -> Query:
     return function
 
 
+LINE_DEDUP_SQL = f"""
+WITH pages AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text,
+         string_split(text, chr(10)) AS lines
+  FROM documents),
+keys AS (
+  SELECT r, source, unnest(list_distinct(
+           [trim(x, chr(32) || chr(9) || chr(13)) for x in lines])) AS line
+  FROM pages),
+totals AS (SELECT source, count(*) AS n_pages FROM pages GROUP BY source),
+often AS (
+  SELECT k.source, list(k.line) AS lines FROM (
+    SELECT source, line, count(*) AS n FROM keys WHERE line <> '' GROUP BY source, line) k
+  JOIN totals t ON k.source IS NOT DISTINCT FROM t.source
+  WHERE n >= {line_dedup.LEAST_PAGES} AND n > {line_dedup.RATIO} * n_pages
+  GROUP BY k.source),
+kept AS (
+  SELECT p.*, [x for x in p.lines
+           if NOT list_contains(coalesce(o.lines, []), trim(x, chr(32) || chr(9) || chr(13)))] AS left_lines
+  FROM pages p LEFT JOIN often o ON p.source IS NOT DISTINCT FROM o.source)
+SELECT doc_id, source AS host, coalesce(len(lines), 0) AS n_lines,
+       coalesce(len(lines), 0) - coalesce(len(left_lines), 0) AS n_dropped,
+       array_to_string(left_lines, chr(10)) AS text
+FROM kept
+"""
+ORACLES["op1_line_dedup"] = LINE_DEDUP_SQL
+
+
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "source", "text")
+    cleaned = line_dedup.drop_boilerplate(docs)
+    return cleaned.select("doc_id", F.col("source").alias("host"), "n_lines", "n_dropped", "text")
+
+
+@query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages", "page_id", "url"))
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return cross_entropy.score(docs, table(spark, folder, "labels", "doc_id", "quality"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = decontamination.find_items(docs, table(spark, folder, "benchmark", "item_id", "text"))
+    found = found.withColumn("n_hit", decontamination.n_hit())
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontamination.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, folder, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query
+def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+    return found.select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
+
+
+@query
+def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
