@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from landfall.session import configure, materialize
 # Rows that go to a Python worker at once. Texts are whole, so a batch holds at
 # most this many of the longest ones.
 BATCH_ROWS = 256
+# Bytes of text whose words are handled at once.
+CHUNK_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -60,6 +63,43 @@ def without(df: DataFrame, drop: DataFrame, key: str) -> DataFrame:
     return df.join(sized_broadcast(drop.select(key)), key, "left_anti")
 
 
+# ---------------------------------------------------------------- words
+
+_KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
+# Every byte that is in no word becomes a space, A-Z lower case.
+WORD_BYTES = bytes(
+    b if b in _KEPT else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
+)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased."""
+    return text.translate(WORD_BYTES).split()
+
+
+def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
+    """Rows with their words, text after text, and the number of words of each."""
+
+    def words(held):
+        rows = pa.Table.from_batches(held)
+        texts = [t.translate(WORD_BYTES).strip() for t in as_bytes(rows["text"])]
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        flat = lists.flatten()
+        filled = pc.not_equal(flat, "")
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        counts -= np.array([0 if t else n for t, n in zip(texts, counts.tolist())], np.int64)
+        return rows, flat.filter(filled), counts
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= CHUNK_BYTES:
+            yield words(held)
+            held = []
+    if held:
+        yield words(held)
+
+
 # ---------------------------------------------------------------- groups
 
 

@@ -8,16 +8,13 @@ neither is surer of itself for having seen more.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import as_bytes
-from landfall.llm.decontamination import WORD_BYTES
+from landfall.llm.common import word_chunks
 from landfall.operators.joins import sized_broadcast
 from landfall.session import materialize
 
@@ -25,38 +22,13 @@ from landfall.session import materialize
 # word. It bounds the models: a loss for each pair of words.
 VOCABULARY = 2046
 DISCOUNT = 0.75
-# Bytes of text whose words are counted at once.
-CHUNK_BYTES = 8 << 20
-
-
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
-    """Rows with their words, text after text, and the number of words of each."""
-
-    def words(held):
-        rows = pa.Table.from_batches(held)
-        texts = [t.translate(WORD_BYTES).strip() for t in as_bytes(rows["text"])]
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
-        flat = lists.flatten()
-        filled = pc.not_equal(flat, "")
-        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
-        counts -= np.array([0 if t else n for t, n in zip(texts, counts.tolist())], np.int64)
-        return rows, flat.filter(filled), counts
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) >= CHUNK_BYTES:
-            yield words(held)
-            held = []
-    if held:
-        yield words(held)
 
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
     """The most frequent words of all documents, ties in alphabetical order."""
 
     def count(batches):
-        for _, words, _ in chunks(batches):
+        for _, words, _ in word_chunks(batches):
             found = words.value_counts()
             yield pa.RecordBatch.from_pydict(
                 {"word": found.field("values").cast(pa.string()), "n": found.field("counts")}
@@ -91,7 +63,7 @@ def pair_counts(docs: DataFrame, words: list[str]) -> DataFrame:
 
     def count(batches):
         sums = np.zeros((2, width * width), np.int64)
-        for rows, flat, counts in chunks(batches):
+        for rows, flat, counts in word_chunks(batches):
             keys, owner = pair_keys(flat, counts, known)
             target = rows["target"].to_numpy()[owner]
             for side in (0, 1):
@@ -162,7 +134,7 @@ def score(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast((target.ravel(), background.ravel()))
 
     def run(batches):
-        for rows, flat, counts in chunks(batches):
+        for rows, flat, counts in word_chunks(batches):
             keys, owner = pair_keys(flat, counts, known)
             means = [
                 np.bincount(owner, losses[keys].astype(np.float64), len(counts)) / np.maximum(counts, 1)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import arrow_map, as_bytes, without
+from landfall.llm.common import arrow_map, as_bytes, without, words_of
 from landfall.session import materialize
 
 WINDOW = 13
@@ -36,17 +36,6 @@ FOUND = (
     "segment long, nth int, doc_id long, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
 )
 
-_KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
-# Every byte that is in no word becomes a space, A-Z lower case.
-WORD_BYTES = bytes(
-    b if b in _KEPT else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
-)
-
-
-def words_of(text: bytes) -> list[bytes]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased."""
-    return text.translate(WORD_BYTES).split()
-
 
 # ---------------------------------------------------------------- the index
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from landfall.llm import (
     cross_entropy,
     decontamination,
+    html_text,
     lattice,
     line_dedup,
     packing,
+    passages,
     simhash,
     toxicity,
     url_filter,
@@ -70,6 +72,11 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages", "page_id", "url"))
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(table(spark, folder, "documents", "doc_id", "text"))
+
+
 @query
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -96,6 +103,12 @@ def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(table(spark, folder, "embeddings", "vec_id", "embedding", "label"))
 
 
+@query
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
