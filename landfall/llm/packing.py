@@ -11,21 +11,27 @@ its rank among the pieces of that length.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import arrow_map, as_bytes
+from landfall.llm.common import arrow_map
 from landfall.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
 # Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+# Bytes of text that are encoded at once, and so share their distinct words.
+ENCODE_BYTES = 8 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -42,26 +48,44 @@ class WordEncoder:
     The tokenizer drops white space and never joins what it parts, so a text's
     ids are those of its words in turn. Words are parted at ASCII white space
     only; what other white space there is the tokenizer parts itself.
-    """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    Of a Latin word with punctuation behind it, the letters are one token
+    sequence and the punctuation another, and lower case is all that the
+    tokenizer's normalizer does to the letters. So such words are encoded once
+    for all their cases and endings, many at a time; any other goes through the
+    whole tokenizer.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:;=>?@\\[-`{-~]*)")
 
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text, without an end id."""
-        words = [text.split() for text in texts]
-        flat = pa.array([w for ws in words for w in ws], pa.binary())
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        if not len(flat):
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.whole.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes | str, bytes] = {}
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, without an end id; none for a NULL."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        counts = pc.list_value_length(words).to_numpy()
+        coded = words.flatten().dictionary_encode()
+        if not len(coded):
             return [np.empty(0, np.uint32)] * len(texts)
-        coded = flat.dictionary_encode()
-        lists = self._look_up(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        lists = self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         begins = np.concatenate([[0], np.cumsum(lengths)])
-        pool = np.concatenate(lists)
+        pool = np.frombuffer(b"".join(lists), "<u4")
         codes = coded.indices.to_numpy()
         sizes = lengths[codes]
         ends = np.cumsum(sizes)
@@ -70,14 +94,45 @@ class WordEncoder:
         ids = pool[where]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def _look_up(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, words
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for word, code in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, np.uint32)
-        return [self.known[w] for w in words]
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each word."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known = self.known
+        parts: dict[bytes, tuple[str, str]] = {}
+        other: list[bytes] = []
+        for word in words:
+            if word not in known:
+                plain = self.PLAIN.fullmatch(word.decode("utf-8", "replace"))
+                if plain:
+                    parts[word] = plain[1].lower(), plain[2]
+                else:
+                    other.append(word)
+        self._encode_letters([w for w in dict.fromkeys(p[0] for p in parts.values()) if w not in known])
+        self._encode_whole([t for t in dict.fromkeys(p[1] for p in parts.values()) if t and t not in known])
+        self._encode_whole(other)
+        for word, (letters, tail) in parts.items():
+            known[word] = known[letters] + known[tail] if tail else known[letters]
+        return [known[w] for w in words]
+
+    def _encode_whole(self, words: list) -> None:
+        texts = [w if isinstance(w, str) else w.decode("utf-8", "replace") for w in words]
+        for word, code in zip(words, self.whole.encode_batch_fast(texts, add_special_tokens=False)):
+            self.known[word] = np.array(code.ids, "<u4").tobytes()
+
+    def _encode_letters(self, words: list[str]) -> None:
+        for first in range(0, len(words), 1000):
+            some = words[first : first + 1000]
+            code = self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(code.ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):  # not a vocabulary that marks word ends
+                self._encode_whole(some)
+                continue
+            begins = np.concatenate([[0], ends[:-1]])
+            raw = ids.tobytes()
+            for word, a, b in zip(some, (4 * begins).tolist(), (4 * ends).tolist()):
+                self.known[word] = raw[a:b]
 
 
 def token_pieces(
@@ -94,12 +149,24 @@ def token_pieces(
     path = tokenizer or default_tokenizer()
     encoders: dict[str, WordEncoder] = {}
 
-    def cut(batch: pa.RecordBatch):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in encoders:
+            # Spark runs as many tasks as there are cores.
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
             encoders[path] = WordEncoder(path)
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= ENCODE_BYTES:
+                yield cut(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield cut(pa.Table.from_batches(held))
+
+    def cut(rows: pa.Table) -> pa.RecordBatch:
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-        owners = batch.column("doc_id").to_pylist()
-        for owner, ids in zip(owners, encoders[path].ids(as_bytes(batch.column("text")))):
+        texts = rows["text"].combine_chunks()
+        for owner, ids in zip(rows["doc_id"].to_pylist(), encoders[path].ids(texts)):
             ids = np.append(ids, END_ID).astype("<u4")
             for number, start in enumerate(range(0, len(ids), capacity)):
                 part = ids[start : start + capacity]
@@ -108,17 +175,19 @@ def token_pieces(
                 out["start"].append(start)
                 out["length"].append(len(part))
                 out["ids_crc32"].append(zlib.crc32(part.tobytes()))
-                out["ids"].append(part.astype(np.int32) if with_ids else None)
-        ids = out.pop("ids")
-        yield {
-            "doc_id": pa.array(out["doc_id"], pa.int64()),
-            "piece": pa.array(out["piece"], pa.int32()),
-            **{k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")},
-            **({"ids": pa.array(ids, pa.list_(pa.int32()))} if with_ids else {}),
-        }
+                if with_ids:
+                    out["ids"].append(part.astype(np.int32))
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(out["doc_id"], pa.int64()),
+                "piece": pa.array(out["piece"], pa.int32()),
+                **{k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")},
+                **({"ids": pa.array(out["ids"], pa.list_(pa.int32()))} if with_ids else {}),
+            }
+        )
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- the plan
