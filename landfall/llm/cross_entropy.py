@@ -102,9 +102,9 @@ def models(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     width = len(words) + 2
     counts = np.zeros((2, width * width))
-    found = pair_counts(docs, words).toPandas()
-    counts[0, found["pair"]] = found["target"]
-    counts[1, found["pair"]] = found["background"]
+    found = pair_counts(docs, words).toArrow()
+    for side, name in enumerate(("target", "background")):
+        counts[side, found["pair"].to_numpy()] = found[name].to_numpy()
     if counts.any(axis=1).all():
         counts[1] *= counts[0].sum() / counts[1].sum()
     return tuple(losses(c.reshape(width, width)) for c in counts)

@@ -63,26 +63,26 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     least: int = LEAST_PAGES,
+    counts: bool = True,
 ) -> DataFrame:
-    """All rows and columns, the text without boilerplate lines, and two counts.
+    """All rows and columns, the text without boilerplate lines.
 
-    Adds ``n_lines`` and ``n_dropped``. Lines left keep their order and blanks.
+    ``counts`` adds ``n_lines`` and ``n_dropped``, which replace columns of
+    these names. Lines left keep their order and blanks.
     NULL text stays NULL with no lines; a text of boilerplate alone becomes
     empty; repeated rows are pages of their own. The sites' keys are broadcast
-    if they measure small, else joined by shuffle. The two counts replace
-    columns of their names.
+    if they measure small, else joined by shuffle.
     """
     found = materialize(docs.sparkSession, boilerplate(docs, host, text, ratio, least), "boilerplate")
-    found = found.select(F.col("host").alias("_host"), F.col("keys").alias("_keys"))
-    joined = docs.join(sized_broadcast(found), docs[host].eqNullSafe(F.col("_host")), "left")
-    known = F.coalesce(F.col("_keys"), F.array().cast("array<bigint>"))
+    found = found.select(F.col("host").alias("__site"), F.col("keys").alias("__keys"))
+    joined = docs.join(sized_broadcast(found), docs[host].eqNullSafe(F.col("__site")), "left")
+    known = F.coalesce(F.col("__keys"), F.array().cast("array<bigint>"))
     kept = F.filter(
         lines_of(F.col(text)), lambda x: ~F.coalesce(F.array_contains(known, line_key(x)), F.lit(False))
     )
-    return (
-        joined.withColumn("_kept", kept)
-        .withColumn("n_lines", F.coalesce(F.size(lines_of(F.col(text))), F.lit(0)).cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.coalesce(F.size("_kept"), F.lit(0)))
-        .withColumn(text, F.array_join("_kept", "\n"))
-        .drop("_host", "_keys", "_kept")
-    )
+    joined = joined.withColumn("__kept", kept)
+    if counts:
+        lines = F.coalesce(F.size(lines_of(F.col(text))), F.lit(0)).cast("long")
+        joined = joined.withColumn("n_lines", lines)
+        joined = joined.withColumn("n_dropped", F.col("n_lines") - F.coalesce(F.size("__kept"), F.lit(0)))
+    return joined.withColumn(text, F.array_join("__kept", "\n")).drop("__site", "__keys", "__kept")

@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from landfall.llm.common import (
+    components,
+    group_bounds,
+    split_groups,
+    stars,
+    whole_groups,
+    words_of,
+)
+from tests.llm.conftest import components_of
+
+
+def test_words_are_ascii_words_and_all_that_is_not_ascii():
+    text = "It's 2nd_Ärger — café\x00naïve x".encode()
+    assert [w.decode() for w in words_of(text)] == "it s 2nd Ärger — café naïve x".split(" ")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_match_brute_force(session, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+    links += [(100, k) for k in range(101, 140)] + [(k, k + 1) for k in range(200, 230)]
+    nodes = {n for a, b in links if a != b for n in (a, b)}
+    expected = components_of(links, {n for link in links for n in link})
+    frame = session.createDataFrame(links, "a long, b long")
+    found = {r["node"]: r["root"] for r in components(frame).collect()}
+    assert found == {n: expected[n] for n in nodes}
+
+
+def test_components_of_nothing(session):
+    assert components(session.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stars_keep_components():
+    rng = random.Random(4)
+    a, b = (np.array([rng.randrange(50) for _ in range(40)]) for _ in range(2))
+    left, right = stars(a, b)
+    nodes = range(50)
+    assert components_of(list(zip(a, b)), nodes) == components_of(list(zip(left, right)), nodes)
+    assert len(left) < 50
+
+
+def test_groups_survive_batches():
+    keys = np.repeat(np.arange(12), [1, 5, 2, 9, 1, 1, 30, 2, 2, 1, 7, 3])
+    frame = pd.DataFrame({"key": keys, "x": range(len(keys))})
+    for size in (1, 2, 3, 7, 100):
+        parts = [frame.iloc[k : k + size] for k in range(0, len(frame), size)]
+        out = list(whole_groups(parts, ["key"]))
+        assert pd.concat(out)["x"].tolist() == list(range(len(keys)))
+        ends = [f["key"].iloc[-1] for f in out[:-1]]
+        assert all(e != f["key"].iloc[0] for e, f in zip(ends, out[1:]))
+    assert group_bounds(frame, ["key"]).tolist()[:4] == [0, 1, 6, 8]
+
+
+def test_every_pair_of_a_split_group_meets_once(session):
+    rows = session.createDataFrame([(1, k) for k in range(50)] + [(2, 99), (3, 7), (3, 8)], "key long, id long")
+    placed = split_groups(rows, "key", "id", block=8).toPandas()
+    assert set(placed["key"]) == {1, 3}
+    met = {}
+    for (key, i, j), group in placed.groupby(["key", "i", "j"]):
+        assert len(group) <= 40
+        for x in group.itertuples():
+            for y in group.itertuples():
+                if x.id < y.id and (i == j or x.side != y.side):
+                    met[key, x.id, y.id] = met.get((key, x.id, y.id), 0) + 1
+    assert len(met) == 50 * 49 // 2 + 1 and set(met.values()) == {1}
