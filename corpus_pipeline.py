@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, without the lines that much of their source shares."""
     prepare(spark)
-    cleaned = line_dedup.drop_boilerplate(docs.select(*docs.columns))
+    cleaned = line_dedup.drop_boilerplate(docs, counts=False)
     cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)
 
