@@ -7,7 +7,7 @@ from landfall.functions.dates import (
     mdy_to_text,
     month_tag,
 )
-from landfall.functions.numbers import load_cast, to_numeric, too_long, truncate_to_int
+from landfall.functions.numbers import load_cast, to_numeric, too_long
 from landfall.functions.text import joined_set, part, part_count, strip, without
 
 __all__ = [
@@ -23,6 +23,5 @@ __all__ = [
     "strip",
     "to_numeric",
     "too_long",
-    "truncate_to_int",
     "without",
 ]

@@ -12,11 +12,6 @@ from landfall.schemas import NUMERIC
 _EXACT = 2**53
 
 
-def truncate_to_int(number: Column) -> Column:
-    """Cut the fraction toward zero."""
-    return number.cast("int")
-
-
 def to_numeric(value: Column, source: T.DataType | None = None) -> Column:
     """numeric(18,0), ties rounded away from zero; out of range is an error.
 
@@ -32,10 +27,23 @@ def to_numeric(value: Column, source: T.DataType | None = None) -> Column:
 
 
 def load_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Cast for a warehouse column. Text length is checked by the table itself."""
+    """Cast for a warehouse column; a number out of range or overlong text is an error."""
     if target == NUMERIC:
         return to_numeric(value, source)
-    return value.cast("string")
+    text = value.cast("string")
+    if not isinstance(target, T.VarcharType):
+        return text
+    refused = F.raise_error(
+        F.concat(F.lit(f"EXCEED_LIMIT_LENGTH: more than {target.length} characters: "), text)
+    )
+    return F.when(too_long(text, target.length), refused.cast("string")).otherwise(text)
+
+
+def misfits(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether ``load_cast`` would fail on a value."""
+    if target == NUMERIC:
+        return value.isNotNull() & value.cast("string").try_cast(NUMERIC).isNull()
+    return too_long(value.cast("string"), target.length)
 
 
 def too_long(text: Column, limit: int) -> Column:

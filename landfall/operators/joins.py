@@ -58,6 +58,10 @@ def attach_many(
 ) -> DataFrame:
     """Left join to a side with many rows per key; one result row per match.
 
+    Measuring the left side runs a job when the frame is built, so hand in a
+    table or a result that was written; the right side is read twice, the second
+    time only its keys, and a derived one should be written before as well.
+
     Built as inner join plus the left rows without match, rather than as an
     outer join: an outer join could neither broadcast its small left side nor
     split a right key that holds a third of all rows. Here the left side is
@@ -65,9 +69,12 @@ def attach_many(
     Right key columns are kept; column names of the two sides must differ.
     """
     condition = [F.col(a) == F.col(b) for a, b in on.items()]
-    matched = sized_broadcast(left, limit).join(right, condition, "inner")
-    # Right keys that match, reduced before their shuffle to the left's keys.
-    wanted = sized_broadcast(left.select(*on).distinct(), limit)
+    small = measured_bytes(left) <= limit
+    mark = F.broadcast if small else (lambda df: df)
+    matched = mark(left).join(right, condition, "inner")
+    # Right keys that match, reduced before their shuffle to the left's keys,
+    # which are never more than the left side.
+    wanted = mark(left.select(*on).distinct())
     present = right.select(*on.values()).join(wanted, condition, "left_semi").distinct()
     alone = left.join(present, condition, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)

@@ -120,7 +120,9 @@ def label_tables(entries: DataFrame) -> dict[str, DataFrame]:
     """The five code tables, by warehouse table name.
 
     Each is a filter over the same entries; hand in a written table
-    (``session.materialize``) so the text is parsed once.
+    (``session.materialize``) so the text is parsed once. An entry that is
+    repeated, in one file or in several, is one row. Two values for one code
+    stay two rows, which the key check of the monthly job refuses.
     """
     tables = {}
     for key, (table, columns) in BLOCKS.items():
@@ -129,5 +131,5 @@ def label_tables(entries: DataFrame) -> dict[str, DataFrame]:
             fields = split_ports(rows).select("code", "city", "state")
         else:
             fields = rows.select("code", "value")
-        tables[table] = fields.toDF(*columns)
+        tables[table] = fields.distinct().toDF(*columns)
     return tables

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landfall.functions.numbers import misfits
+from landfall.schemas import LOAD_NAMES, Table
+
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with ``n_rows``.
@@ -23,6 +26,34 @@ def incomplete_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in key])
 
 
+def load_report(
+    df: DataFrame, table: Table, names: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One row per table column: ``column, n_rows, n_null, n_misfit``.
+
+    Misfits are texts beyond the column's length and values that are no number
+    in its range, the values that would stop a load. One pass over the frame.
+    """
+    names = LOAD_NAMES.get(table.name, {}) if names is None else names
+    sums = [F.count(F.lit(1)).alias("n_rows")]
+    for column, target in table.columns:
+        source = names.get(column, column)
+        value = F.col(f"`{source}`")
+        bad = misfits(value, df.schema[source].dataType, target)
+        sums.append(F.count_if(value.isNull()).alias(f"{column}|null"))
+        sums.append(F.count_if(bad).alias(f"{column}|misfit"))
+    rows = [
+        F.struct(
+            F.lit(column).alias("column"),
+            F.col("n_rows"),
+            F.col(f"`{column}|null`").alias("n_null"),
+            F.col(f"`{column}|misfit`").alias("n_misfit"),
+        )
+        for column, _ in table.columns
+    ]
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def key_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: ``n_rows``, ``n_keys``, ``n_duplicate_keys``, ``n_incomplete``."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))

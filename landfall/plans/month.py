@@ -4,37 +4,50 @@ from __future__ import annotations
 
 import datetime
 import functools
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import schemas
 from landfall.operators.airport import clean_airport
-from landfall.operators.demography import demography_by_city, demography_by_state
+from landfall.operators.demography import (
+    RACE_SEPARATOR,
+    demography_by_city,
+    demography_by_state,
+)
 from landfall.operators.fact import clean_fact
-from landfall.operators.labels import label_tables, parse_labels
-from landfall.operators.quality import key_report
-from landfall.session import materialize
+from landfall.operators.labels import BLOCKS, label_tables, parse_labels
+from landfall.operators.quality import key_report, load_report
+from landfall.session import materialize, scratch_folder
 from landfall.sources.readers import (
     read_airports,
     read_demography,
     read_lines,
+    read_month,
     scan_fact,
 )
 from landfall.sources.warehouse import (
+    Replacement,
+    append_new_rows,
     create_tables,
     fit_to_table,
     load_months,
-    refresh_dimension,
 )
 from landfall.sources.writers import write_delimited, write_month
 
 
 @dataclass(frozen=True)
 class Inputs:
-    """Where the raw files are. ``fact`` is a path with a ``{}`` for the tag."""
+    """Where the raw files are and how they are read.
+
+    ``fact`` is a path with a ``{}`` for the tag. ``multiline`` is for delimited
+    files whose quoted fields contain line breaks.
+    """
 
     fact: str
     demography: str
@@ -43,35 +56,94 @@ class Inputs:
     fact_format: str = "parquet"
     fact_options: Mapping[str, str] = field(default_factory=dict)
     airport_headers: Mapping[str, str] = field(default_factory=dict)
+    multiline: bool = False
+    legacy_na: bool = False
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Choices of the cleaning and of the load.
+
+    ``partial`` adds the rows of a partial file instead of replacing the month.
+    ``stage_format`` may be ``csv``, which is then loaded from that text.
+    """
+
+    typed_dates: bool = False
+    city_keys: Sequence[str] = ("City",)
+    glue: str = RACE_SEPARATOR
+    stage_format: str = "parquet"
+    partial: bool = False
+    strict_keys: bool = False
 
 
 class KeyViolation(ValueError):
     """A cleaned table breaks its primary key."""
 
 
+class LoadViolation(ValueError):
+    """A cleaned table holds values that its columns refuse."""
+
+
 def tag_of(month: datetime.date) -> str:
     """Month tag such as ``sep19``, independent of the locale."""
     names = "jan feb mar apr may jun jul aug sep oct nov dec".split()
     return f"{names[month.month - 1]}{month.year % 100:02d}"
 
 
-def clean_dimensions(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
-    """The eight dimension frames, by table name, from written stages."""
-    by_city = materialize(
-        spark, demography_by_city(read_demography(spark, inputs.demography)), "city"
-    )
-    entries = materialize(spark, parse_labels(read_lines(spark, inputs.labels)), "labels")
-    airports = read_airports(spark, inputs.airports, inputs.airport_headers)
+def together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Run independent steps at the same time; their results in order.
+
+    Each submits its own Spark jobs, so small ones fill the gaps of others. The
+    first failure is raised after all have ended.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]
+
+
+def clean_dimensions(
+    spark: SparkSession, inputs: Inputs, rules: Rules, folder: str
+) -> dict[str, DataFrame]:
+    """The eight dimension frames, by table name, from stages in a folder."""
+
+    def demography() -> tuple[DataFrame, DataFrame]:
+        raw = read_demography(spark, inputs.demography, inputs.multiline)
+        city = demography_by_city(raw, tuple(rules.city_keys))
+        city = materialize(spark, city, "city", folder)
+        return city, materialize(spark, demography_by_state(city, rules.glue), "state", folder)
+
+    def labels() -> dict[str, DataFrame]:
+        entries = parse_labels(read_lines(spark, inputs.labels))
+        return label_tables(materialize(spark, entries, "labels", folder))
+
+    def airports() -> DataFrame:
+        raw = read_airports(
+            spark, inputs.airports, inputs.airport_headers, inputs.legacy_na, inputs.multiline
+        )
+        return materialize(spark, clean_airport(raw), "airport", folder)
+
+    (city, state), tables, airport = together(spark, demography, labels, airports)
     return {
-        schemas.CITY_DEMOGRAPHY.name: by_city,
-        schemas.STATE_DEMOGRAPHY.name: materialize(
-            spark, demography_by_state(by_city), "state"
-        ),
-        schemas.AIRPORT.name: materialize(spark, clean_airport(airports), "airport"),
-        **label_tables(entries),
+        schemas.CITY_DEMOGRAPHY.name: city,
+        schemas.STATE_DEMOGRAPHY.name: state,
+        schemas.AIRPORT.name: airport,
+        **tables,
     }
 
 
+def check_values(frames: Mapping[str, DataFrame]) -> None:
+    """Stop if a frame holds values that its table refuses; all in a single job."""
+    reports = [
+        load_report(frame, schemas.TABLES[name]).select(F.lit(name).alias("table"), "*")
+        for name, frame in frames.items()
+    ]
+    combined = functools.reduce(DataFrame.unionByName, reports)
+    bad = combined.where("n_misfit > 0").orderBy("table", "column").collect()
+    if bad:
+        named = ", ".join(f"{r['table']}.{r['column']} ({r['n_misfit']})" for r in bad)
+        raise LoadViolation(f"values that do not fit: {named}")
+
+
 def check_keys(frames: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
     """The key report of every frame, as it would be loaded, in a single job."""
     reports = []
@@ -84,6 +156,20 @@ def check_keys(frames: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
     return {row.pop("table"): row for row in rows}
 
 
+# Tables whose codes the facts join: two values for a code would double facts.
+CODE_TABLES = frozenset(table for table, _ in BLOCKS.values())
+
+
+def broken_keys(reports: Mapping[str, Mapping[str, int]], strict: bool) -> list[str]:
+    """Tables whose broken key stops the load: code tables, or all if ``strict``."""
+    return sorted(
+        name
+        for name, report in reports.items()
+        if (strict and (report["n_duplicate_keys"] or report["n_incomplete"]))
+        or (name in CODE_TABLES and report["n_duplicate_keys"])
+    )
+
+
 def run_month(
     spark: SparkSession,
     month: datetime.date,
@@ -92,38 +178,58 @@ def run_month(
     stage: str,
     csv: str | None = None,
     strict_keys: bool = False,
+    rules: Rules | None = None,
 ) -> dict[str, dict[str, int]]:
     """Run one month end to end; returns the key report of each table.
 
-    The cleaned month is written under ``stage`` and all dimensions to scratch
-    before the warehouse changes, so a failure in cleaning leaves it untouched.
-    Running a month again leaves the same warehouse. ``csv`` names a folder
-    that also receives the dimensions as delimited text. ``strict_keys`` stops
-    before loading when a primary key is broken; otherwise that is reported,
-    as the warehouse itself does not enforce keys.
+    The cleaned month is written under ``stage``, the dimensions to scratch, and
+    values and keys are checked, before the warehouse changes. New dimensions
+    are then written beside the old ones, and the tables switched to them; if
+    the load of the facts fails they are switched back, so a failure anywhere
+    leaves all nine tables as they were. Running a month again leaves the same
+    warehouse. ``csv`` names a folder that also receives the dimensions as
+    delimited text. Two values for a code stop the load; other broken keys are
+    reported, as the warehouse itself does not enforce keys, and stop it with
+    ``strict_keys``.
     """
+    rules = rules or Rules(strict_keys=strict_keys)
     tag = tag_of(month)
-    raw = scan_fact(spark, inputs.fact, tag, inputs.fact_format, inputs.fact_options)
-    fact_path = write_month(clean_fact(raw), stage, tag)
-    facts = spark.read.parquet(fact_path)
-    dimensions = clean_dimensions(spark, inputs)
-
-    reports = check_keys({**dimensions, schemas.FACT.name: facts})
-    if strict_keys:
-        broken = [
-            name
-            for name, report in reports.items()
-            if report["n_duplicate_keys"] or report["n_incomplete"]
-        ]
-        if broken:
-            raise KeyViolation(f"primary key broken in {', '.join(sorted(broken))}")
-
-    if csv:
-        for name, frame in dimensions.items():
-            write_delimited(frame, f"{csv}/{name}", sort_by=frame.columns[:1])
-
-    create_tables(spark, schemas.TABLES.values(), database)
-    for table in schemas.DIMENSIONS:
-        refresh_dimension(dimensions[table.name], table, database)
-    load_months(facts, [(month.year, month.month)], database)
+
+    def clean_month() -> DataFrame:
+        raw = scan_fact(spark, inputs.fact, tag, inputs.fact_format, inputs.fact_options)
+        clean = clean_fact(raw, rules.typed_dates)
+        path = write_month(clean, stage, tag, rules.stage_format)
+        return read_month(spark, path, rules.stage_format)
+
+    with scratch_folder(spark, f"month-{tag}") as folder:
+        facts, dimensions = together(
+            spark, clean_month, lambda: clean_dimensions(spark, inputs, rules, folder)
+        )
+        frames = {**dimensions, schemas.FACT.name: facts}
+        check_values(frames)
+        reports = check_keys(frames)
+        if broken := broken_keys(reports, rules.strict_keys or strict_keys):
+            raise KeyViolation(f"primary key broken in {', '.join(broken)}")
+
+        if csv:
+            for name, frame in dimensions.items():
+                write_delimited(frame, f"{csv}/{name}", sort_by=frame.columns[:1])
+
+        create_tables(spark, schemas.TABLES.values(), database)
+        replacement = Replacement(spark, database)
+        months = [(month.year, month.month)]
+        try:
+            together(
+                spark,
+                *[
+                    functools.partial(replacement.stage, dimensions[table.name], table)
+                    for table in schemas.DIMENSIONS
+                ],
+            )
+            replacement.switch()
+            (append_new_rows if rules.partial else load_months)(facts, months, database)
+        except BaseException:
+            replacement.undo()
+            raise
+        replacement.finish()
     return reports

@@ -114,7 +114,7 @@ RAW_FACT_SCHEMA = T.StructType(
     + [T.StructField(n, t) for n, t in RAW_DATE_FIELDS.items()]
 )
 
-# Headers of the two raw delimited files.
+# Headers of the two raw delimited files.
 DEMOGRAPHY_MEANS = (
     "Median Age",
     "Male Population",
@@ -136,7 +136,7 @@ RAW_AIRPORT_SCHEMA = T.StructType(
     ]
 )
 
-# How each warehouse table picks its columns, by name, from the frame that
+# How each warehouse table picks its columns, by name, from the frame that
 # feeds it: {table column: frame column}. Tables not listed use equal names.
 LOAD_NAMES = {
     COUNTRY.name: {"i94CIT_i94RES_code": "I94CIT_I94RES_Code", "country": "Country"},

@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,9 @@ from pyspark.sql import SparkSession
 # count: adaptive execution sizes partitions from the data.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # What cannot be read or stored is an error, never a silent NULL.
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.storeAssignmentPolicy": "ANSI",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,11 +42,21 @@ def _local_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach.
 
-    Only where the setting is absent (tests, a laptop) is a local one chosen.
+    Named by ``spark.checkpoint.dir`` or by the context's checkpoint directory.
+    Only a session within one machine may do without; any other stops here, as
+    its executors would write to disks of their own.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_root()).rstrip("/")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError(
+            "no shared folder: set spark.checkpoint.dir to one that all executors reach"
+        )
+    return _local_root()
 
 
 @functools.cache
@@ -59,12 +74,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(spark: SparkSession, df, label: str):
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, on whatever storage it lies."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for the stages of one job, deleted when the job ends."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
+
+
+def materialize(spark: SparkSession, df, label: str, folder: str | None = None):
     """Write a frame to the shared folder and read it back.
 
     Cuts lineage so that consumers of a shared result do not recompute it, and
-    keeps the result when executors are lost, unlike cached blocks.
+    keeps the result when executors are lost, unlike cached blocks. ``folder``
+    is one of ``scratch_folder``, which says when it goes.
     """
-    path = scratch_path(spark, label)
+    path = f"{folder}/{label}" if folder else scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

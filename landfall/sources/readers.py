@@ -11,9 +11,14 @@ from pyspark.sql import types as T
 from landfall.functions.text import EXTRA_LINE_ENDS
 from landfall.operators.airport import CODE_COLUMNS
 from landfall.operators.nulls import NA_TOKENS, normalize_na
-from landfall.schemas import RAW_AIRPORT_SCHEMA, RAW_DEMOGRAPHY_SCHEMA, RAW_FACT_SCHEMA
+from landfall.schemas import (
+    FACT,
+    NUMERIC,
+    RAW_AIRPORT_SCHEMA,
+    RAW_DEMOGRAPHY_SCHEMA,
+    RAW_FACT_SCHEMA,
+)
 
-_SCHEMALESS_FORMATS = ("csv", "json", "text")
 
 
 def month_path(template: str, tag: str) -> str:
@@ -31,13 +36,25 @@ def scan_fact(
     """The raw file of one month, in any format the session has a source for.
 
     Formats that carry a schema supply it, so a missing column fails at
-    analysis; text formats get the raw schema. Column pruning and pushed
-    filters reach the scan in either case.
+    analysis, and column pruning and pushed filters reach the scan. Delimited
+    text needs a header and is read by ``read_delimited``, options ``sep`` and
+    ``multiLine``; only an empty field is a gap there, as codes may look like a
+    missing-value token.
     """
-    reader = spark.read.format(format).options(**(options or {}))
-    if format in _SCHEMALESS_FORMATS:
+    path, options = month_path(template, tag), dict(options or {})
+    if format == "csv":
+        return read_delimited(
+            spark,
+            path,
+            RAW_FACT_SCHEMA,
+            sep=options.get("sep", ","),
+            na_tokens=("",),
+            multiline=str(options.get("multiLine", "false")).lower() == "true",
+        )
+    reader = spark.read.format(format).options(**options)
+    if format == "json":
         reader = reader.schema(RAW_FACT_SCHEMA)
-    return reader.load(month_path(template, tag))
+    return reader.load(path)
 
 
 def read_delimited(
@@ -55,10 +72,25 @@ def read_delimited(
     cast to the given schema; text that does not fit its type is an error. No
     pass over the data infers types. Columns named in ``keep_tokens_in`` keep
     the tokens as values, though an empty field is missing everywhere.
-    Files whose quoted fields contain line breaks need ``multiline``, at the
-    price of one task per file.
+
+    Nothing is dropped in silence: a file whose header differs from the first
+    one's, and a row with more or fewer fields than the header, are errors,
+    whichever columns are used. Files whose quoted fields contain line breaks
+    need ``multiline``, at the price of one task per file; without it their
+    rows have a wrong number of fields.
     """
-    text = spark.read.csv(path, header=True, sep=sep, escape='"', multiLine=multiline)
+    header = spark.read.csv(path, header=True, sep=sep, escape='"', multiLine=multiline)
+    # Without column pruning every row is parsed whole, and so checked whole.
+    strict = spark.read.option("columnPruning", False).option("enforceSchema", False)
+    text = strict.csv(
+        path,
+        schema=T.StructType([T.StructField(c, T.StringType()) for c in header.columns]),
+        header=True,
+        sep=sep,
+        escape='"',
+        multiLine=multiline,
+        mode="FAILFAST",
+    )
     text = text.select(*[F.col(f"`{name}`") for name in schema.names])
     kept = set(keep_tokens_in)
     text = normalize_na(text, [c for c in schema.names if c not in kept], na_tokens)
@@ -74,8 +106,27 @@ def read_headerless(
     return spark.read.csv(path, schema=schema, sep=sep, escape='"', mode="FAILFAST")
 
 
-def read_demography(spark: SparkSession, path: str) -> DataFrame:
-    return read_delimited(spark, path, RAW_DEMOGRAPHY_SCHEMA, sep=";")
+def fact_text_schema() -> T.StructType:
+    """The cleaned fact table as delimited text holds it."""
+    return T.StructType(
+        [
+            T.StructField(c, t if t == NUMERIC else T.StringType())
+            for c, t in FACT.columns
+        ]
+    )
+
+
+def read_month(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """A cleaned month as ``write_month`` leaves it, delimited text included."""
+    if format == "csv":
+        return read_headerless(spark, path, fact_text_schema())
+    return spark.read.format(format).load(path)
+
+
+def read_demography(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return read_delimited(
+        spark, path, RAW_DEMOGRAPHY_SCHEMA, sep=";", multiline=multiline
+    )
 
 
 def read_airports(
@@ -83,6 +134,7 @@ def read_airports(
     path: str,
     renames: Mapping[str, str] | None = None,
     legacy_na: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """The airport table. ``renames`` maps table columns to header names.
 
@@ -97,9 +149,9 @@ def read_airports(
         ]
     )
     kept = () if legacy_na else [renames.get(c, c) for c in CODE_COLUMNS]
-    return read_delimited(spark, path, schema, keep_tokens_in=kept).toDF(
-        *RAW_AIRPORT_SCHEMA.names
-    )
+    return read_delimited(
+        spark, path, schema, keep_tokens_in=kept, multiline=multiline
+    ).toDF(*RAW_AIRPORT_SCHEMA.names)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.numbers import load_cast
-from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, Table
+from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, TABLES, Table
+from landfall.session import delete_path
 
 
 def qualified(table: Table, database: str) -> str:
@@ -83,17 +85,79 @@ def fit_to_table(
     )
 
 
+def location_of(spark: SparkSession, table: Table, database: str) -> str:
+    """The folder that holds a table's files."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(table, database)}")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
+def _point_to(spark: SparkSession, table: Table, database: str, folder: str) -> None:
+    name = qualified(table, database)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
+class Replacement:
+    """New contents of dimensions, written beside the old ones.
+
+    ``stage`` writes a table's rows to a folder of their own, where a value that
+    does not fit is an error; no table has changed by then. ``switch`` lets the
+    tables point there. ``undo`` lets them point back, ``finish`` deletes what
+    they no longer point to. Files are never overwritten, so a reader sees the
+    old rows or the new ones.
+    """
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark, self.database = spark, database
+        self.folders: dict[str, str] = {}
+        self.before: dict[str, str] = {}
+
+    def stage(self, df: DataFrame, table: Table, names: Mapping[str, str] | None = None) -> None:
+        """``df`` may read the table. Stages of several tables may run at once."""
+        home = self.spark.sql(f"DESCRIBE DATABASE `{self.database}`")
+        home = home.where("info_name = 'Location'").first()["info_value"]
+        folder = f"{home}/{table.name.lower()}-{uuid.uuid4().hex[:12]}"
+        self.folders[table.name] = folder
+        fit_to_table(df, table, names).write.parquet(folder)
+
+    def switch(self) -> None:
+        try:
+            for name, folder in self.folders.items():
+                old = location_of(self.spark, TABLES[name], self.database)
+                _point_to(self.spark, TABLES[name], self.database, folder)
+                self.before[name] = old
+        except BaseException:
+            self.undo()
+            raise
+
+    def undo(self) -> None:
+        for name, folder in self.before.items():
+            _point_to(self.spark, TABLES[name], self.database, folder)
+        self.before = {}
+        for folder in self.folders.values():
+            delete_path(self.spark, folder)
+
+    def finish(self) -> None:
+        for folder in self.before.values():
+            delete_path(self.spark, folder)
+
+
 def refresh_dimension(
     df: DataFrame, table: Table, database: str, names: Mapping[str, str] | None = None
 ) -> None:
-    """Replace a dimension by the latest data. The table must exist.
+    """Replace a dimension by the latest data, or leave it as it is and fail.
 
-    Files are replaced, not swapped atomically: check the data first. A failed
-    run is repaired by running it again. ``df`` must not read the table.
+    The table must exist. Its rows are written first and the table then points
+    to them.
     """
-    fit_to_table(df, table, names).write.insertInto(
-        qualified(table, database), overwrite=True
-    )
+    replacement = Replacement(df.sparkSession, database)
+    try:
+        replacement.stage(df, table, names)
+        replacement.switch()
+    except BaseException:
+        replacement.undo()
+        raise
+    replacement.finish()
 
 
 def _in_months(months: Sequence[tuple[int, int]]) -> Column:
@@ -143,9 +207,13 @@ def append_new_rows(
     """Add the rows of a partial file whose key the fact table lacks.
 
     Only the announced months of the table are read, and of them only the key.
+    A missing part of a key equals a missing one, so a retry adds nothing. Rows
+    that repeat a new key within the file are all added; the key check tells.
     """
     fitted = _only_months(fit_to_table(df, FACT), months)
-    stored = df.sparkSession.table(qualified(FACT, database)).select(*FACT.key)
-    new = fitted.join(stored.filter(_in_months(months)), list(FACT.key), "left_anti")
+    stored = df.sparkSession.table(qualified(FACT, database)).filter(_in_months(months))
+    stored = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
+    same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
+    new = fitted.join(stored, same, "left_anti")
     new = _spread(new.select(*FACT.storage_order), months)
     new.write.insertInto(qualified(FACT, database))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from landfall import schemas
 from landfall.operators import star
 from landfall.operators.fact import clean_fact
-from landfall.plans.month import Inputs, KeyViolation, run_month
+from landfall.plans.month import Inputs, KeyViolation, LoadViolation, Rules, run_month
 from landfall.sources import warehouse
 from landfall.sources.readers import month_path, scan_fact
 from tests.test_labels import TEXT
@@ -143,3 +143,109 @@ def test_fact_from_delimited_text(spark, tmp_path):
     raw = scan_fact(spark, f"{tmp_path}/i94_{{}}.csv", "sep19", "csv", {"header": "true"})
     row = clean_fact(raw).first()
     assert row.arrival_date == "1960-01-02 00:00:00" and row.allowedtostay_date is None
+
+
+def contents(spark, database):
+    return {
+        name: sorted(map(str, warehouse.read_table(spark, table, database).collect()))
+        for name, table in schemas.TABLES.items()
+    }
+
+
+@pytest.mark.parametrize("name", sorted(schemas.TABLES))
+def test_a_failure_in_any_table_leaves_all_as_they_were(spark, setting, monkeypatch, name):
+    inputs, database, folder = setting
+    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    before = contents(spark, database)
+    (folder / "cities.csv").write_text(DEMOGRAPHY.replace("White", "Green"))
+    (folder / "labels.txt").write_text(TEXT.replace("Albania", "Elsewhere"))
+    fit, switch = warehouse.fit_to_table, warehouse._point_to
+
+    def failing_fit(df, table, *args, **named):
+        if table.name == name and "columns" not in named:
+            df = df.select(*[F.raise_error(F.lit("no disk")).cast(f.dataType).alias(f.name) for f in df.schema])
+        return fit(df, table, *args, **named)
+
+    def failing_switch(session, table, *args):
+        if table.name == name and failing_switch.armed:
+            failing_switch.armed = False
+            raise OSError("no catalog")
+        return switch(session, table, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "fit_to_table", failing_fit)
+        with pytest.raises(Exception, match="no disk"):
+            run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert contents(spark, database) == before
+    if name != schemas.FACT.name:
+        failing_switch.armed = True
+        with monkeypatch.context() as patch:
+            patch.setattr(warehouse, "_point_to", failing_switch)
+            with pytest.raises(OSError, match="no catalog"):
+                run_month(spark, SEP, inputs, database, f"{folder}/stage")
+        assert contents(spark, database) == before
+    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert contents(spark, database) != before
+    kept = {p.name.rsplit("-", 1)[0] for p in (folder / "wh").iterdir()}
+    assert len(list((folder / "wh").iterdir())) == len(kept)
+
+
+def test_values_that_do_not_fit_stop_before_any_change(spark, setting):
+    inputs, database, folder = setting
+    (folder / "cities.csv").write_text(DEMOGRAPHY.replace("White", "x" * 300))
+    with pytest.raises(LoadViolation, match="US_Demography_by_City.race .1."):
+        run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    (folder / "cities.csv").write_text(DEMOGRAPHY.replace(";60", ";" + "9" * 18).replace(";5\n", ";" + "9" * 18 + "\n"))
+    with pytest.raises(LoadViolation, match="US_Demography_by_City.count"):
+        run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert spark.catalog.listTables(database) == []
+
+
+def test_repeated_labels_are_one_row_and_conflicts_stop(spark, setting):
+    inputs, database, folder = setting
+    both = folder / "both"
+    both.mkdir()
+    for name in ("a.txt", "b.txt"):
+        (both / name).write_text(TEXT)
+    inputs = Inputs(**{**inputs.__dict__, "labels": str(both)})
+    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert counts(spark, database)["I94CIT_I94RES_Code"] == 2
+    tables = {n: warehouse.read_table(spark, t, database) for n, t in schemas.TABLES.items()}
+    totals = star.arrivals_by(tables[schemas.FACT.name], tables, list(star.ROLES))
+    assert totals.agg(F.sum("arrivals")).first()[0] == 20
+    (both / "b.txt").write_text(TEXT.replace("Albania", "Elsewhere"))
+    with pytest.raises(KeyViolation, match="I94CIT_I94RES_Code"):
+        run_month(spark, SEP, inputs, database, f"{folder}/stage")
+
+
+def test_choices_reach_the_tables(spark, setting):
+    inputs, database, folder = setting
+    (folder / "cities.csv").write_text(
+        DEMOGRAPHY + 'Alcan;Ohio;20;1;1;1;1;1;1;OH;"Two\nLines";1\n'
+    )
+    given = Inputs(**{**inputs.__dict__, "multiline": True, "legacy_na": True})
+    rules = Rules(typed_dates=True, city_keys=("City", "State"), glue="", stage_format="csv")
+    run_month(spark, SEP, given, database, f"{folder}/stage", rules=rules)
+    assert counts(spark, database)["US_Demography_by_City"] == 2
+    assert warehouse.read_table(spark, schemas.AIRPORT, database).first().continent == "None"
+    facts = warehouse.read_table(spark, schemas.FACT, database)
+    assert {r.arrival_date for r in facts.collect()} == {"2016-04-29"}
+    assert facts.count() == 20 and int(facts.first().admnum) == 92478761130
+    partial = Rules(partial=True, city_keys=("City", "State"))
+    write_fact(spark, folder / "more", "sep19", 2019, 9, 25)
+    more = Inputs(**{**given.__dict__, "fact": f"{folder}/more/i94_{{}}.parquet"})
+    for _ in range(2):
+        run_month(spark, SEP, more, database, f"{folder}/stage", rules=partial)
+    assert counts(spark, database)["I94Immigration_form"] == 25
+
+
+def test_the_job_is_few_jobs_and_leaves_no_scratch(spark, setting):
+    inputs, database, folder = setting
+    from landfall.session import scratch_path
+
+    root = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    import os
+
+    before = set(os.listdir(root))
+    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+    assert set(os.listdir(root)) == before

@@ -7,7 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from landfall import schemas
-from landfall.operators.quality import duplicate_keys, incomplete_keys, key_report
+from landfall.operators.quality import (
+    duplicate_keys,
+    incomplete_keys,
+    key_report,
+    load_report,
+)
 from landfall.sources import warehouse
 from landfall.sources.readers import read_headerless
 from landfall.sources.writers import write_month
@@ -144,6 +149,42 @@ def test_partial_files_add_only_new_rows(spark, database):
     assert month_counts(spark, database) == {month: 8}
 
 
+def test_missing_keys_and_repeats_are_added_once(spark, database):
+    warehouse.create_tables(spark, [schemas.FACT], database)
+    month = (2019, 9)
+    rows = fact_rows(spark, {month: 4})
+    gap = rows.withColumn("cicid", F.when(F.col("cicid") > 1, F.col("cicid")))
+    gap = gap.unionByName(rows.where("cicid = 3"))
+    for _ in range(3):
+        warehouse.append_new_rows(gap, [month], database)
+    stored = warehouse.read_table(spark, schemas.FACT, database).select("cicid").collect()
+    assert sorted((r[0] is None, r[0] or 0) for r in stored) == [
+        (False, 2), (False, 3), (False, 3), (True, 0), (True, 0),
+    ]
+
+
+def test_a_failed_refresh_keeps_the_old_rows(spark, database, tmp_path):
+    warehouse.create_tables(spark, [schemas.ADDRESS], database)
+    columns = "I94addr_Code string, State string"
+    fits = spark.createDataFrame([("AL", "ALABAMA")], columns)
+    warehouse.refresh_dimension(fits, schemas.ADDRESS, database)
+    folders = sorted((tmp_path / database).iterdir())
+    over = spark.createDataFrame([("AL", "ok"), ("AK", "x" * 257)], columns)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        warehouse.refresh_dimension(over, schemas.ADDRESS, database)
+    table = warehouse.read_table(spark, schemas.ADDRESS, database)
+    assert [r.state for r in table.collect()] == ["ALABAMA"]
+    assert sorted((tmp_path / database).iterdir()) == folders
+
+
+def test_load_report_counts_misfits(spark):
+    frame = spark.createDataFrame(
+        [("1", "AIR"), ("x", "y" * 300), (None, None)], "I94mode_Code string, Transportation string"
+    )
+    rows = {r["column"]: tuple(r)[1:] for r in load_report(frame, schemas.MODE).collect()}
+    assert rows == {"i94mode_code": (3, 1, 1), "transportation": (3, 1, 1)}
+
+
 def files_per_month(folder):
     counts = {}
     for file in folder.rglob("part-*.parquet"):
