@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +38,7 @@ from landfall.operators.labels import (
     split_ports,
 )
 from landfall.operators.nulls import NA_TOKENS, fill_none, normalize_na
-from landfall.operators.quality import duplicate_keys, key_report
+from landfall.operators.quality import duplicate_keys, key_report, load_report
 from landfall.plans import shapes
 from landfall.plans.month import Inputs, run_month
 from landfall.plans.shapes import ANSI, SPARK, load
@@ -45,8 +48,9 @@ from landfall.sources.readers import (
     read_airports,
     read_delimited,
     read_demography,
-    read_headerless,
     read_lines,
+    read_month,
+    scan_fact,
 )
 from landfall.sources.writers import write_delimited, write_month
 
@@ -328,6 +332,31 @@ def sorted_output(spark, folder):
     return read_delimited(spark, path, result.schema)
 
 
+@query(f"{BY_CITY_SQL} SELECT count(*) AS n_rows, 0 AS n_out_of_order FROM by_city")
+def sorted_order(spark, folder):
+    """Rows of the sorted sink that come after a larger key, over all its files."""
+    path = scratch_path(spark, "order")
+    result = demography_by_city(shapes.demography(spark, folder))
+    write_delimited(result.select("City"), path, sort_by=["City"])
+    lines = spark.read.csv(path, header=True, escape='"').select(
+        "City",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # Within files row by row, and from file to file by their first and last rows.
+    before = F.lag("City").over(Window.partitionBy("file").orderBy("place"))
+    within = lines.withColumn("late", F.col("City") < before)
+    files = within.groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if("late").alias("late"),
+        F.min("City").alias("low"), F.max("City").alias("high"),
+    )
+    crossed = F.col("low") < F.lag("high").over(Window.orderBy("file"))
+    return files.withColumn("crossed", crossed).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        (F.coalesce(F.sum("late"), F.lit(0)) + F.count_if("crossed")).cast("int").alias("n_out_of_order"),
+    )
+
+
 @query(f"{BY_CITY_SQL} {_CITY_RESULT}")
 def demography_file(spark, folder):
     """Semicolon file in, city demography out."""
@@ -361,8 +390,11 @@ def all_null_sum(spark, folder):
 # ---------------------------------------------------------------- labels
 
 
-def _write_labels(spark: SparkSession, folder: str) -> str:
-    """Customers as label text: blocks whole within files, headers first."""
+def _write_labels(spark: SparkSession, folder: str, times: int = 1) -> str:
+    """Customers as label text: blocks whole within files, headers first.
+
+    More than one time puts every block into that many files.
+    """
     path = scratch_path(spark, "label-text")
     rows = load(spark, folder, "customer").selectExpr(
         f"{SPARK.expand(shapes.LABEL_KEY)} AS key",
@@ -381,7 +413,9 @@ def _write_labels(spark: SparkSession, folder: str) -> str:
         )
     )
     text = rows.unionByName(headers).repartitionByRange("key", "block")
-    text.sortWithinPartitions("key", "block", "place").select("line").write.text(path)
+    text = text.sortWithinPartitions("key", "block", "place").select("line")
+    for _ in range(times):
+        text.write.mode("append").text(path)
     return path
 
 
@@ -416,7 +450,7 @@ FROM entries WHERE block_key = 'I94PORT' AND len(string_split(value, ',')) <= 2
 """
 
 
-@query(
+_TABLES_SQL = (
     LABELS_SQL
     + _PORTS_SQL
     + "".join(
@@ -426,8 +460,11 @@ FROM entries WHERE block_key = 'I94PORT' AND len(string_split(value, ',')) <= 2
         if len(columns) == 2
     )
 )
-def labels_to_tables(spark, folder):
-    entries = parse_labels(read_lines(spark, _write_labels(spark, folder)))
+
+
+def _label_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The five tables of a label text as one."""
+    entries = parse_labels(read_lines(spark, path))
     tables = label_tables(materialize(spark, entries, "entries"))
     parts = []
     for name, frame in tables.items():
@@ -441,10 +478,18 @@ def labels_to_tables(spark, folder):
                 state.alias("state"),
             )
         )
-    result = parts[0]
-    for more in parts[1:]:
-        result = result.unionByName(more)
-    return result
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query(_TABLES_SQL)
+def labels_to_tables(spark, folder):
+    return _label_rows(spark, _write_labels(spark, folder))
+
+
+@query(_TABLES_SQL)
+def labels_repeated(spark, folder):
+    """Every block in two files: each code is one row."""
+    return _label_rows(spark, _write_labels(spark, folder, times=2))
 
 
 @query(f"""
@@ -476,33 +521,66 @@ def csv_roundtrip(spark, folder):
     return copies[0].unionByName(copies[1])
 
 
-@query(f"""
-WITH raw AS ({shapes.ARRIVALS_SQL}), clean AS ({CLEAN_FACT_SQL})
-SELECT {", ".join(
-    f"CAST({c} AS DECIMAL(18, 0)) AS {c}" if t == schemas.NUMERIC else c
-    for c, t in schemas.FACT.columns)}
-FROM clean
-""")
+def _fact_rows_sql(raw: str) -> str:
+    """Fact rows as the table holds them, from a shape's SQL."""
+    columns = ", ".join(
+        f"CAST({c} AS DECIMAL(18, 0)) AS {c}" if t == schemas.NUMERIC else c
+        for c, t in schemas.FACT.columns
+    )
+    return f"WITH raw AS ({raw}), clean AS ({CLEAN_FACT_SQL}) SELECT {columns} FROM clean"
+
+
+@query(_fact_rows_sql(shapes.ARRIVALS_SQL))
 def csv_month(spark, folder):
     """The cleaned month without header in many part files: no row is lost."""
     path = write_month(
         clean_fact(shapes.arrivals(spark, folder)), scratch_path(spark, "month"), "all",
         format="csv",
     )
-    fields = [
-        T.StructField(c, t if t == schemas.NUMERIC else T.StringType())
-        for c, t in schemas.FACT.columns
-    ]
-    return read_headerless(spark, path, T.StructType(fields))
+    return read_month(spark, path, "csv")
+
+
+@query(f"WITH raw AS ({shapes.ARRIVALS_SQL}) {CLEAN_FACT_SQL}")
+def fact_from_csv(spark, folder):
+    """The raw month as headed text, its columns in another order than the schema's."""
+    base = scratch_path(spark, "fact-csv")
+    raw = shapes.arrivals(spark, folder)
+    names = ["ignored", *sorted(c for c in raw.columns if c != "ignored")]
+    write_delimited(raw.select(*names), f"{base}/sep19")
+    return clean_fact(scan_fact(spark, f"{base}/{{}}", "sep19", "csv"))
+
+
+@query("""
+SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", x' AS label,
+       CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END AS c_acctbal
+FROM customer
+""")
+def csv_mixed_folder(spark, folder):
+    """Many files with quoted line breaks, separators and quotes, read by name."""
+    path = scratch_path(spark, "mixed")
+    rows = load(spark, folder, "customer").selectExpr(
+        "c_acctbal AS other",
+        r"c_name || '\n\"' || c_mktsegment || '\", x' AS label",
+        "CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END AS c_acctbal",
+        "c_custkey",
+    )
+    write_delimited(rows.repartition(4, "c_custkey"), path)
+    schema = rows.select("c_custkey", "label", "c_acctbal").schema
+    return read_delimited(spark, path, schema, multiline=True)
 
 
 # ---------------------------------------------------------------- warehouse
 
 
-def _new_database(spark: SparkSession) -> str:
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database of its own, dropped in the end: results are written before."""
     name = f"landfall_{uuid.uuid4().hex[:12]}"
     warehouse.create_database(spark, name, scratch_path(spark, name))
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE `{name}` CASCADE")
 
 
 @query("""
@@ -512,18 +590,41 @@ FROM customer
 """)
 def dim_refresh(spark, folder):
     """A dimension loaded twice holds the latest data only."""
-    database, table = _new_database(spark), schemas.PORT
+    table = schemas.PORT
     ports = load(spark, folder, "customer").selectExpr(
         "'P' || CAST(c_custkey AS STRING) AS code", "c_name AS city",
         "c_mktsegment AS state",
     )
     names = {"i94port_code": "code"}
-    warehouse.drop_tables(spark, [table], database)
-    warehouse.create_tables(spark, [table], database)
-    outdated = ports.withColumn("city", F.lower("city"))
-    warehouse.refresh_dimension(outdated, table, database, names)
-    warehouse.refresh_dimension(ports, table, database, names)
-    return warehouse.read_table(spark, table, database)
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [table], database)
+        outdated = ports.withColumn("city", F.lower("city"))
+        warehouse.refresh_dimension(outdated, table, database, names)
+        warehouse.refresh_dimension(ports, table, database, names)
+        return materialize(spark, warehouse.read_table(spark, table, database), "result")
+
+
+@query("""
+SELECT 'P' || CAST(c_custkey AS VARCHAR) AS i94port_code, c_mktsegment AS state,
+       c_name AS city
+FROM customer
+""")
+def table_recreated(spark, folder):
+    """A table with rows is dropped and made anew: the old rows are gone."""
+    table = schemas.PORT
+    ports = load(spark, folder, "customer").selectExpr(
+        "'P' || CAST(c_custkey AS STRING) AS i94port_code", "c_name AS city",
+        "c_mktsegment AS state",
+    )
+    names = {c: c for c in table.column_names}
+    with _database(spark) as database:
+        for code in (F.lower("i94port_code"), F.col("i94port_code")):
+            warehouse.drop_tables(spark, [table], database)
+            warehouse.create_tables(spark, [table], database)
+            there = warehouse.read_table(spark, table, database).select("i94port_code", "city", "state")
+            rows = ports.withColumn("i94port_code", code).unionByName(there)
+            warehouse.refresh_dimension(rows, table, database, names)
+        return materialize(spark, warehouse.read_table(spark, table, database), "result")
 
 
 def _months(facts: DataFrame) -> list[tuple[int, int]]:
@@ -533,48 +634,70 @@ def _months(facts: DataFrame) -> list[tuple[int, int]]:
     ]
 
 
-_FACT_SUMMARY_SQL = """
-SELECT CAST(i94yr AS DECIMAL(18, 0)) AS i94yr, CAST(i94mon AS DECIMAL(18, 0)) AS i94mon,
-       count(*) AS n_rows, count(DISTINCT cicid) AS n_keys,
-       CAST(sum(CAST(admnum AS DECIMAL(18, 0))) AS DECIMAL(28, 0)) AS sum_admnum
-FROM raw GROUP BY 1, 2
-"""
-
-
-def _fact_summary(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("i94yr", "i94mon").agg(
-        F.count("*").alias("n_rows"),
-        F.count_distinct("cicid").alias("n_keys"),
-        F.sum("admnum").cast("decimal(28,0)").alias("sum_admnum"),
-    )
-
-
-@query(f"WITH raw AS ({shapes.ARRIVALS_SQL}) {_FACT_SUMMARY_SQL}")
+@query(_fact_rows_sql(shapes.ARRIVALS_SQL))
 def fact_append(spark, folder):
     """All months at once, then one of them again: every row is there once."""
-    database = _new_database(spark)
-    warehouse.create_tables(spark, [schemas.FACT], database)
-    facts = clean_fact(shapes.arrivals(spark, folder))
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        facts = clean_fact(shapes.arrivals(spark, folder))
+        months = _months(load(spark, folder, "orders").selectExpr(
+            "year(o_orderdate) AS i94yr", "month(o_orderdate) AS i94mon"))
+        warehouse.load_months(facts, months, database)
+        year, month = max(months)
+        again = facts.filter((F.col("i94yr") == year) & (F.col("i94mon") == month))
+        warehouse.load_months(again, [(year, month)], database)
+        return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
+
+
+# Orders as facts, some of them without a key.
+_GAPPED = shapes.ARRIVALS_PER_ORDER | {
+    "cicid": "CASE WHEN o_orderkey % 97 > 0 THEN CAST(o_orderkey AS DOUBLE) END"
+}
+
+
+@query(_fact_rows_sql(shapes.select_sql(_GAPPED, "orders")))
+def fact_append_new(spark, folder):
+    """Partial files: half the rows, then all of them twice; none is added twice."""
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        orders = load(spark, folder, "orders").selectExpr(*SPARK.columns(_GAPPED))
+        facts = clean_fact(orders)
+        months = _months(facts)
+        half = facts.filter((F.col("cicid") % 2) == 0)
+        warehouse.load_months(half, months, database)
+        for _ in range(2):
+            warehouse.append_new_rows(facts, months, database)
+        return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
+
+
+@query(_fact_rows_sql(shapes.ARRIVALS_SQL))
+def csv_month_load(spark, folder):
+    """Months written as text without header, loaded into the fact table."""
+    path = write_month(
+        clean_fact(shapes.arrivals(spark, folder)), scratch_path(spark, "month"), "all",
+        format="csv",
+    )
     months = _months(load(spark, folder, "orders").selectExpr(
         "year(o_orderdate) AS i94yr", "month(o_orderdate) AS i94mon"))
-    warehouse.load_months(facts, months, database)
-    year, month = max(months)
-    again = facts.filter((F.col("i94yr") == year) & (F.col("i94mon") == month))
-    warehouse.load_months(again, [(year, month)], database)
-    return _fact_summary(warehouse.read_table(spark, schemas.FACT, database))
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        warehouse.load_months(read_month(spark, path, "csv"), months, database)
+        return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
 
 
-@query(f"WITH raw AS ({shapes.ARRIVALS_PER_ORDER_SQL}) {_FACT_SUMMARY_SQL}")
-def fact_append_new(spark, folder):
-    """Partial files: half the rows, then all of them; none is added twice."""
-    database = _new_database(spark)
-    warehouse.create_tables(spark, [schemas.FACT], database)
+@query(_fact_rows_sql(shapes.ARRIVALS_PER_ORDER_SQL))
+def existing_month_refused(spark, folder):
+    """A month that is there is not written again in mode error."""
+    base = scratch_path(spark, "refused")
     facts = clean_fact(shapes.arrivals_per_order(spark, folder))
-    months = _months(facts)
-    half = facts.filter((F.col("cicid") % 2) == 0)
-    warehouse.load_months(half, months, database)
-    warehouse.append_new_rows(facts, months, database)
-    return _fact_summary(warehouse.read_table(spark, schemas.FACT, database))
+    path = write_month(facts, base, "sep19", mode="error")
+    try:
+        write_month(facts.withColumn("fltno", F.lit("again")), base, "sep19", mode="error")
+    except AnalysisException as refused:
+        if "PATH_ALREADY_EXISTS" not in str(refused):
+            raise
+        return spark.read.parquet(path)
+    raise AssertionError("the month was written over")
 
 
 @query("""
@@ -590,10 +713,11 @@ def load_by_name(spark, folder):
         customer.select("c_custkey", "c_name", "c_mktsegment").toDF(*columns), path
     )
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    database, table = _new_database(spark), schemas.PORT
-    warehouse.create_tables(spark, [table], database)
-    warehouse.refresh_dimension(read_delimited(spark, path, schema), table, database)
-    return warehouse.read_table(spark, table, database)
+    table = schemas.PORT
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [table], database)
+        warehouse.refresh_dimension(read_delimited(spark, path, schema), table, database)
+        return materialize(spark, warehouse.read_table(spark, table, database), "result")
 
 
 @query("""
@@ -621,6 +745,43 @@ def varchar_guard(spark, folder):
     return part.filter(too_long(F.col("p_name"), 10))
 
 
+_NAMES = {"i94port_code": "c_custkey", "state": "c_name", "city": "c_acctbal"}
+
+
+@query("""
+SELECT 'i94port_code' AS "column", count(*) AS n_rows, 0 AS n_null,
+       CAST(sum(CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_misfit
+FROM customer
+UNION ALL SELECT 'state', count(*), CAST(sum(CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT), 0
+FROM customer
+UNION ALL SELECT 'city', count(*), 0, 0 FROM customer
+""")
+def load_report_ports(spark, folder):
+    """What would stop a load, and gaps, for each column of a table."""
+    rows = load(spark, folder, "customer").selectExpr(
+        "CASE WHEN c_custkey % 10 = 0 THEN repeat('x', 257) ELSE CAST(c_custkey AS STRING) END"
+        " AS c_custkey",
+        "CASE WHEN c_custkey % 7 > 0 THEN c_name END AS c_name",
+        "c_acctbal",
+    )
+    return load_report(rows, schemas.PORT, _NAMES)
+
+
+@query("""
+SELECT 'i94mode_code' AS "column", count(*) AS n_rows, 0 AS n_null,
+       CAST(sum(CASE WHEN p_partkey % 4 = 0 OR p_partkey % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT)
+         AS n_misfit
+FROM part UNION ALL SELECT 'transportation', count(*), 0, 0 FROM part
+""")
+def load_report_modes(spark, folder):
+    rows = load(spark, folder, "part").selectExpr(
+        "CASE WHEN p_partkey % 4 = 0 THEN p_name WHEN p_partkey % 9 = 0 THEN '1e19'"
+        " ELSE CAST(p_partkey AS STRING) END AS i94mode_code",
+        "p_name AS transportation",
+    )
+    return load_report(rows, schemas.MODE, {})
+
+
 # ---------------------------------------------------------------- joins
 
 
@@ -781,12 +942,15 @@ def fanout_join(spark, folder):
 
 @query("""
 SELECT s_suppkey, l_orderkey, l_linenumber, l_quantity
-FROM supplier LEFT JOIN (SELECT * FROM lineitem WHERE l_suppkey % 3 > 0)
-  ON s_suppkey = l_suppkey
+FROM supplier LEFT JOIN lineitem
+  ON s_suppkey = CASE WHEN l_suppkey % 3 > 0 THEN l_suppkey ELSE -l_suppkey END
 """)
 def one_to_many_join(spark, folder):
-    lines = load(spark, folder, "lineitem").filter("l_suppkey % 3 > 0")
-    lines = lines.select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
+    """Lines of every third supplier have a key that no supplier has."""
+    lines = load(spark, folder, "lineitem").selectExpr(
+        "CASE WHEN l_suppkey % 3 > 0 THEN l_suppkey ELSE -l_suppkey END AS l_suppkey",
+        "l_orderkey", "l_linenumber", "l_quantity",
+    )
     suppliers = load(spark, folder, "supplier").select("s_suppkey")
     return attach_many(suppliers, lines, {"s_suppkey": "l_suppkey"}).drop("l_suppkey")
 
@@ -797,11 +961,14 @@ def one_to_many_join(spark, folder):
 @query("""
 SELECT o_custkey, count(*) AS n_rows
 FROM orders WHERE NOT EXISTS (
-  SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 3 > 0)
+  SELECT 1 FROM customer
+  WHERE CASE WHEN c_custkey % 3 > 0 THEN c_custkey ELSE -c_custkey END = o_custkey)
 GROUP BY o_custkey
 """)
 def unmatched_customers(spark, folder):
-    known = load(spark, folder, "customer").filter("c_custkey % 3 > 0")
+    known = load(spark, folder, "customer").selectExpr(
+        "CASE WHEN c_custkey % 3 > 0 THEN c_custkey ELSE -c_custkey END AS c_custkey"
+    )
     return unmatched(load(spark, folder, "orders"), known, {"o_custkey": "c_custkey"})
 
 
@@ -871,6 +1038,30 @@ _RUN_SHAPE = shapes.ARRIVALS_PER_ORDER | {
 }
 
 
+@contextmanager
+def _month_loaded(spark: SparkSession, folder: str) -> Iterator[dict[str, DataFrame]]:
+    """The tables after the monthly job has run twice on raw files."""
+    base = scratch_path(spark, "run")
+    orders = load(spark, folder, "orders").selectExpr(*SPARK.columns(_RUN_SHAPE))
+    orders.write.parquet(f"{base}/apr16.parquet")
+    write_delimited(shapes.demography(spark, folder), f"{base}/cities", sep=";")
+    airport_rows = load(spark, folder, "customer").selectExpr(*SPARK.columns(AIRPORT_SHAPE))
+    write_delimited(airport_rows, f"{base}/airports")
+    inputs = Inputs(
+        fact=f"{base}/{{}}.parquet",
+        demography=f"{base}/cities",
+        airports=f"{base}/airports",
+        labels=_write_labels(spark, folder),
+    )
+    with _database(spark) as database:
+        for _ in range(2):
+            run_month(spark, _RUN_MONTH, inputs, database, f"{base}/stage")
+        yield {
+            name: warehouse.read_table(spark, table, database)
+            for name, table in schemas.TABLES.items()
+        }
+
+
 @query(f"""{LABELS_SQL},
   ports AS ({_PORTS_SQL}),
   raw AS ({shapes.select_sql(_RUN_SHAPE, "orders")})
@@ -889,29 +1080,65 @@ LEFT JOIN entries v ON v.block_key = 'I94VISA' AND v.code = i94port
 """)
 def month_run(spark, folder):
     """Raw files in, the monthly job twice, the enriched fact table out."""
-    base = scratch_path(spark, "run")
-    orders = load(spark, folder, "orders").selectExpr(*SPARK.columns(_RUN_SHAPE))
-    orders.write.parquet(f"{base}/apr16.parquet")
-    write_delimited(shapes.demography(spark, folder), f"{base}/cities", sep=";")
-    airport_rows = load(spark, folder, "customer").selectExpr(*SPARK.columns(AIRPORT_SHAPE))
-    write_delimited(airport_rows, f"{base}/airports")
-    inputs = Inputs(
-        fact=f"{base}/{{}}.parquet",
-        demography=f"{base}/cities",
-        airports=f"{base}/airports",
-        labels=_write_labels(spark, folder),
-    )
-    database = _new_database(spark)
-    for _ in range(2):
-        run_month(spark, _RUN_MONTH, inputs, database, f"{base}/stage")
-    tables = {
-        name: warehouse.read_table(spark, table, database)
-        for name, table in schemas.TABLES.items()
-    }
-    facts = star.enrich(tables[schemas.FACT.name], tables)
-    return facts.select(
-        F.col("cicid").cast("bigint").alias("cicid"),
-        *_ROLE_COLUMNS,
-        "arrival_date",
-        "allowedtostay_date",
-    )
+    with _month_loaded(spark, folder) as tables:
+        facts = star.enrich(tables[schemas.FACT.name], tables)
+        result = facts.select(
+            F.col("cicid").cast("bigint").alias("cicid"),
+            *_ROLE_COLUMNS,
+            "arrival_date",
+            "allowedtostay_date",
+        )
+        return materialize(spark, result, "result")
+
+
+@query(f"""{BY_STATE_SQL}, raw_airports AS ({shapes.select_sql(AIRPORT_SHAPE, "customer")}),
+  airports AS (SELECT {_AIRPORT_SQL} FROM raw_airports)
+SELECT 'city' AS kind, city AS key, state_code AS detail, race AS text, TRUE AS measures_hold
+FROM by_city
+UNION ALL SELECT 'state', state, NULL, race, TRUE FROM by_state
+UNION ALL SELECT 'airport', ident, municipality,
+  concat_ws('|', {", ".join(schemas.AIRPORT.column_names)}), NULL FROM airports
+""")
+def month_dimensions(spark, folder):
+    """The demography and airport tables that the monthly job has loaded.
+
+    A measure holds if it is the mean or sum of ``by_city`` and ``by_state``,
+    rounded to a whole number. On halves the last bits of a mean decide, which
+    depend on the order of addition.
+    """
+    by_city = demography_by_city(shapes.demography(spark, folder))
+    by_city = materialize(spark, by_city, "city")
+    measures = star.MEASURES[:-1]
+    with _month_loaded(spark, folder) as tables:
+        parts = []
+        for kind, table, key, exact in (
+            ("city", schemas.CITY_DEMOGRAPHY, "city", by_city),
+            ("state", schemas.STATE_DEMOGRAPHY, "state", demography_by_state(by_city)),
+        ):
+            exact = _table_columns(exact, table)
+            exact = exact.select(key, *[F.col(c).alias(f"exact_{c}") for c in measures])
+            near = [
+                F.coalesce(
+                    F.abs(F.col(c).cast("double") - F.col(f"exact_{c}")) <= 0.5001,
+                    F.col(c).isNull() & F.col(f"exact_{c}").isNull(),
+                )
+                for c in measures
+            ]
+            parts.append(
+                tables[table.name].join(exact, key).select(
+                    F.lit(kind).alias("kind"),
+                    F.col(key).alias("key"),
+                    (F.col("state_code") if kind == "city" else F.lit(None).cast("string")).alias("detail"),
+                    F.col("race").alias("text"),
+                    functools.reduce(Column.__and__, near).alias("measures_hold"),
+                )
+            )
+        airports = tables[schemas.AIRPORT.name].select(
+            F.lit("airport").alias("kind"),
+            F.col("ident").alias("key"),
+            F.col("municipality").alias("detail"),
+            F.concat_ws("|", *schemas.AIRPORT.column_names).alias("text"),
+            F.lit(None).cast("boolean").alias("measures_hold"),
+        )
+        result = functools.reduce(DataFrame.unionByName, [*parts, airports])
+        return materialize(spark, result, "result")

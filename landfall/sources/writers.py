@@ -12,6 +12,14 @@ from landfall.functions.numbers import to_numeric
 from landfall.schemas import FACT
 
 
+# Quotes doubled, and blanks around a value kept, which Spark would cut off.
+_AS_IT_IS = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -26,7 +34,7 @@ def write_delimited(
     """
     if sort_by:
         df = df.orderBy(*sort_by)
-    df.write.mode(mode).csv(path, header=True, sep=sep, escape='"')
+    df.write.mode(mode).csv(path, header=True, sep=sep, **_AS_IT_IS)
 
 
 def plain_numbers(df: DataFrame) -> DataFrame:
@@ -61,7 +69,7 @@ def write_month(
     path = f"{base}/{tag}"
     writer = plain_numbers(df).write.mode(mode)
     if format == "csv":
-        writer.csv(path, header=False, escape='"')
+        writer.csv(path, header=False, **_AS_IT_IS)
     else:
         writer.format(format).save(path)
     return path
