@@ -1,6 +1,7 @@
 """The monthly job end to end."""
 
 import datetime
+import os
 import uuid
 
 import pytest
@@ -10,6 +11,7 @@ from landfall import schemas
 from landfall.operators import star
 from landfall.operators.fact import clean_fact
 from landfall.plans.month import Inputs, KeyViolation, LoadViolation, Rules, run_month
+from landfall.session import scratch_path
 from landfall.sources import warehouse
 from landfall.sources.readers import month_path, scan_fact
 from tests.test_labels import TEXT
@@ -152,42 +154,41 @@ def contents(spark, database):
     }
 
 
-@pytest.mark.parametrize("name", sorted(schemas.TABLES))
-def test_a_failure_in_any_table_leaves_all_as_they_were(spark, setting, monkeypatch, name):
+def test_a_failure_in_any_table_leaves_all_as_they_were(spark, setting, monkeypatch):
     inputs, database, folder = setting
     run_month(spark, SEP, inputs, database, f"{folder}/stage")
     before = contents(spark, database)
     (folder / "cities.csv").write_text(DEMOGRAPHY.replace("White", "Green"))
     (folder / "labels.txt").write_text(TEXT.replace("Albania", "Elsewhere"))
     fit, switch = warehouse.fit_to_table, warehouse._point_to
+    failing = []
 
     def failing_fit(df, table, *args, **named):
-        if table.name == name and "columns" not in named:
+        if table.name in failing and "columns" not in named:
             df = df.select(*[F.raise_error(F.lit("no disk")).cast(f.dataType).alias(f.name) for f in df.schema])
         return fit(df, table, *args, **named)
 
     def failing_switch(session, table, *args):
-        if table.name == name and failing_switch.armed:
-            failing_switch.armed = False
+        if table.name in failing:
+            failing.clear()
             raise OSError("no catalog")
         return switch(session, table, *args)
 
-    with monkeypatch.context() as patch:
-        patch.setattr(warehouse, "fit_to_table", failing_fit)
-        with pytest.raises(Exception, match="no disk"):
-            run_month(spark, SEP, inputs, database, f"{folder}/stage")
-    assert contents(spark, database) == before
-    if name != schemas.FACT.name:
-        failing_switch.armed = True
-        with monkeypatch.context() as patch:
-            patch.setattr(warehouse, "_point_to", failing_switch)
-            with pytest.raises(OSError, match="no catalog"):
-                run_month(spark, SEP, inputs, database, f"{folder}/stage")
-        assert contents(spark, database) == before
+    for patched, replacement, message, names in (
+        ("fit_to_table", failing_fit, "no disk", sorted(schemas.TABLES)),
+        ("_point_to", failing_switch, "no catalog", [schemas.DIMENSIONS[k].name for k in (0, 3, 7)]),
+    ):
+        for name in names:
+            failing[:] = [name]
+            with monkeypatch.context() as patch:
+                patch.setattr(warehouse, patched, replacement)
+                with pytest.raises(Exception, match=message):
+                    run_month(spark, SEP, inputs, database, f"{folder}/stage")
+            assert contents(spark, database) == before
     run_month(spark, SEP, inputs, database, f"{folder}/stage")
     assert contents(spark, database) != before
-    kept = {p.name.rsplit("-", 1)[0] for p in (folder / "wh").iterdir()}
-    assert len(list((folder / "wh").iterdir())) == len(kept)
+    places = [p.name.rsplit("-", 1)[0] for p in (folder / "wh").iterdir()]
+    assert len(places) == len(set(places))
 
 
 def test_values_that_do_not_fit_stop_before_any_change(spark, setting):
@@ -239,13 +240,9 @@ def test_choices_reach_the_tables(spark, setting):
     assert counts(spark, database)["I94Immigration_form"] == 25
 
 
-def test_the_job_is_few_jobs_and_leaves_no_scratch(spark, setting):
+def test_the_job_leaves_no_scratch(spark, setting):
     inputs, database, folder = setting
-    from landfall.session import scratch_path
-
     root = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
-    import os
-
     before = set(os.listdir(root))
     run_month(spark, SEP, inputs, database, f"{folder}/stage")
     assert set(os.listdir(root)) == before
