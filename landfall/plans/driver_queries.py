@@ -749,7 +749,7 @@ _NAMES = {"i94port_code": "c_custkey", "state": "c_name", "city": "c_acctbal"}
 
 
 @query("""
-SELECT 'i94port_code' AS "column", count(*) AS n_rows, 0 AS n_null,
+SELECT 'i94port_code' AS "column", count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null,
        CAST(sum(CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_misfit
 FROM customer
 UNION ALL SELECT 'state', count(*), CAST(sum(CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT), 0
@@ -768,7 +768,7 @@ def load_report_ports(spark, folder):
 
 
 @query("""
-SELECT 'i94mode_code' AS "column", count(*) AS n_rows, 0 AS n_null,
+SELECT 'i94mode_code' AS "column", count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null,
        CAST(sum(CASE WHEN p_partkey % 4 = 0 OR p_partkey % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT)
          AS n_misfit
 FROM part UNION ALL SELECT 'transportation', count(*), 0, 0 FROM part
