@@ -215,8 +215,10 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
 
 def _to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
-    joined = edges.join(least, "a")
+    least = least.select("a", F.least("a", "m").alias("m"), F.xxhash64("a").alias("h"))
+    # With the hash as a second key neither side comes as it is partitioned, so
+    # adaptive execution may split the links of a node that has very many.
+    joined = edges.withColumn("h", F.xxhash64("a")).join(least, ["a", "h"])
     if larger_only:
         pairs = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         own = least.where("m < a").select("a", F.col("m").alias("b"))
