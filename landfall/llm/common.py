@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,9 +24,19 @@ CHUNK_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The runtime settings of the library, and small batches to Python."""
+    """The runtime settings of the library, small batches to Python, and its path.
+
+    Python workers look for the package where the driver found it, whatever
+    folder the session was started in. A cluster's machines have it from the
+    user's own deployment, as any package.
+    """
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark
 
 
