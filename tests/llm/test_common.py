@@ -69,3 +69,12 @@ def test_every_pair_of_a_split_group_meets_once(session):
                 if x.id < y.id and (i == j or x.side != y.side):
                     met[key, x.id, y.id] = met.get((key, x.id, y.id), 0) + 1
     assert len(met) == 50 * 49 // 2 + 1 and set(met.values()) == {1}
+
+
+def test_workers_find_the_package(session):
+    import os
+
+    import landfall
+
+    root = os.path.dirname(os.path.dirname(landfall.__file__))
+    assert root in session.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
