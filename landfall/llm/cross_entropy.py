@@ -1,14 +1,19 @@
 """Document scores by the difference of two language models' cross-entropies.
 
 A target model, of documents labelled good, and a background model, of all
-others, share one vocabulary and one smoothing. Background counts are scaled to
-the target's number of words, so that the models are matched in size and
-neither is surer of itself for having seen more.
+others, share all words of the corpus and one smoothing. Background counts are
+scaled to the target's number of words, so that the models are matched in size
+and neither is surer of itself for having seen more.
+
+The models are Spark tables of word pairs and grow with the corpus. Words are
+64-bit hashes in them. Only the losses of pairs that are a fixed share of all
+are sent to the tasks, as a shorter way; all others are joined.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -18,13 +23,17 @@ from landfall.llm.common import word_chunks
 from landfall.operators.joins import sized_broadcast
 from landfall.session import materialize
 
-# Words of the shared vocabulary, the most frequent ones. All others are one
-# word. It bounds the models: a loss for each pair of words.
-VOCABULARY = 2046
 DISCOUNT = 0.75
+# Pairs at least so often, as a share of all, have their losses sent to every
+# task. There can be no more of them than one over it; the rest is joined.
+HOT_SHARE = 2.0**-18
+# Word pairs that a task holds before it gives them out.
+HELD_PAIRS = 2_000_000
+# Codes of a word that a given vocabulary lacks, and of a text's start.
+UNKNOWN, START = 0, 1
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The most frequent words of all documents, ties in alphabetical order."""
 
     def count(batches):
@@ -39,75 +48,113 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
     return [row["word"] for row in top.collect()]
 
 
-def pair_keys(words: pa.Array, counts: np.ndarray, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(previous, word) of every word as one number, and each word's text.
+# ---------------------------------------------------------------- pairs
 
-    Word 0 is any that the vocabulary lacks; the last number is a text's start.
-    """
-    start, width = len(known) + 1, len(known) + 2
-    ids = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64) + 1
+
+def pair_codes(words: pa.Array, counts: np.ndarray, known: pa.Array | None):
+    """(previous, word, text) of every word, words as codes."""
     owner = np.repeat(np.arange(len(counts)), counts)
-    before = np.roll(ids, 1)
-    if len(ids):
-        before[np.flatnonzero(np.diff(owner, prepend=-1))] = start
-    return before * width + ids, owner
+    if not len(words):
+        return np.empty(0, np.int64), np.empty(0, np.int64), owner
+    coded = words.dictionary_encode()
+    codes = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object), categorize=False).view(np.int64)
+    if known is not None:
+        codes = np.where(pc.is_in(coded.dictionary, value_set=known).to_numpy(zero_copy_only=False), codes, UNKNOWN)
+    code = codes[coded.indices.to_numpy()]
+    before = np.roll(code, 1)
+    before[np.flatnonzero(np.diff(owner, prepend=-1))] = START
+    return before, code, owner
+
+
+def pair_key(before: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """One hash of both words, as ``PAIR_KEY`` has it."""
+    turned = code.view(np.uint64)
+    return before ^ ((turned << np.uint64(1)) | (turned >> np.uint64(63))).view(np.int64)
+
 
+PAIR_KEY = "u ^ (shiftleft(v, 1) | shiftrightunsigned(v, 63))"
 
-def pair_counts(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(pair, target, background): how often word pairs occur in either part.
 
-    Each task adds its documents up and gives every pair once.
+def summed(u: np.ndarray, v: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, with the sums of its two counts."""
+    order = np.lexsort((v, u))
+    u, v, sides = u[order], v[order], sides[:, order]
+    new = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])]))
+    return u[new], v[new], np.add.reduceat(sides, new, axis=1)
+
+
+def pair_counts(docs: DataFrame, known: pa.Array | None) -> DataFrame:
+    """(u, v, target, background): how often word pairs occur in either part.
+
+    Each task adds its documents up before it gives a pair out.
     """
-    known = pa.array(words, pa.large_string())
-    width = len(words) + 2
+
+    def merged(parts):
+        return summed(*(np.concatenate(x, axis=-1) for x in zip(*parts)))
+
+    def batch(u, v, sides):
+        return pa.RecordBatch.from_pydict({"u": u, "v": v, "target": sides[0], "background": sides[1]})
 
     def count(batches):
-        sums = np.zeros((2, width * width), np.int64)
+        held = []
         for rows, flat, counts in word_chunks(batches):
-            keys, owner = pair_keys(flat, counts, known)
+            if not len(flat):
+                continue
+            u, v, owner = pair_codes(flat, counts, known)
             target = rows["target"].to_numpy()[owner]
-            for side in (0, 1):
-                found, n = np.unique(keys[target == bool(side)], return_counts=True)
-                sums[side, found] += n
-        some = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_pydict(
-            {"pair": some, "background": sums[0, some], "target": sums[1, some]}
-        )
+            held.append(summed(u, v, np.stack([target, ~target]).astype(np.int64)))
+            if sum(len(h[0]) for h in held) >= HELD_PAIRS:
+                held = [merged(held)]
+                if len(held[0][0]) >= HELD_PAIRS // 2:
+                    yield batch(*held.pop())
+        if held:
+            yield batch(*merged(held))
 
-    rows = docs.select("text", "target").mapInArrow(count, "pair long, background long, target long")
-    return rows.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    rows = docs.select("text", "target").mapInArrow(count, "u long, v long, target long, background long")
+    return rows.groupBy("u", "v").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss of each word after each other, from a table of counts.
-
-    Absolute discounting: what is taken off the counts of pairs that occurred
-    goes to the words in general, estimated with one count more each.
-    """
-    single = counts.sum(axis=0) + 1.0
-    single[-1] = 0.0  # a start never follows
-    single /= single.sum()
-    total = counts.sum(axis=1, keepdims=True)
-    taken = np.minimum(counts, DISCOUNT).sum(axis=1, keepdims=True)
-    share = np.where(total > 0, taken / np.maximum(total, 1e-300), 1.0)
-    kept = np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1e-300)
-    p = kept + share * single[None, :]
-    return -np.log(np.maximum(p, 1e-300)).astype(np.float32)
+# ---------------------------------------------------------------- models
 
 
-def models(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The losses of the target and of the background model.
+def models(docs: DataFrame, known: pa.Array | None) -> tuple[DataFrame, int]:
+    """(p, n, target, background): losses of each pair that occurs, and all pairs' number.
 
-    What reaches the driver has the bound of the vocabulary, squared.
+    Absolute discounting: what is taken off the counts of pairs that occurred
+    goes to the words in general, estimated with one count more each, and one
+    for a word that is not known. A word that never goes before another in a
+    model, and a model without documents, leave the words in general.
     """
-    width = len(words) + 2
-    counts = np.zeros((2, width * width))
-    found = pair_counts(docs, words).toArrow()
-    for side, name in enumerate(("target", "background")):
-        counts[side, found["pair"].to_numpy()] = found[name].to_numpy()
-    if counts.any(axis=1).all():
-        counts[1] *= counts[0].sum() / counts[1].sum()
-    return tuple(losses(c.reshape(width, width)) for c in counts)
+    spark = docs.sparkSession
+    pairs = materialize(spark, pair_counts(docs, known), "pairs")
+    sides = ("target", "background")
+    all_of = {s: n or 0 for s, n in zip(sides, pairs.agg(*(F.sum(s) for s in sides)).first())}
+    ratio = dict.fromkeys(sides, 1.0)
+    if all(all_of.values()):
+        ratio["background"] = all_of["target"] / all_of["background"]
+    counts = {s: F.col(s) * F.lit(ratio[s]) for s in sides}
+    after = pairs.groupBy("u").agg(
+        *(F.sum(counts[s]).alias(f"{s}_all") for s in sides),
+        *(F.sum(F.least(counts[s], F.lit(DISCOUNT))).alias(f"{s}_taken") for s in sides),
+    )
+    after = materialize(spark, after, "after")
+    single = materialize(
+        spark, pairs.groupBy("v").agg(*(F.sum(counts[s]).alias(f"{s}_single") for s in sides)), "single"
+    )
+    n_words = single.where(F.col("v") != UNKNOWN).count() + 1
+    joined = pairs.join(sized_broadcast(after), "u").join(sized_broadcast(single), "v")
+
+    def loss(side: str):
+        general = (F.col(f"{side}_single") + 1) / (all_of[side] * ratio[side] + n_words)
+        total = F.col(f"{side}_all")
+        kept = F.greatest(counts[side] - DISCOUNT, F.lit(0.0)) + F.col(f"{side}_taken") * general
+        p = F.when(total > 0, kept / F.greatest(total, F.lit(1e-300))).otherwise(general)
+        return (-F.log(F.greatest(p, F.lit(1e-300)))).alias(side)
+
+    found = joined.select(
+        F.expr(PAIR_KEY).alias("p"), (F.col("target") + F.col("background")).alias("n"), *(loss(s) for s in sides)
+    )
+    return materialize(spark, found, "losses"), sum(all_of.values())
 
 
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -119,37 +166,77 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select("doc_id", "text", F.col("_good").isNotNull().alias("target"))
 
 
-def score(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> DataFrame:
+# ---------------------------------------------------------------- scores
+
+
+def score(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFrame:
     """Every document's losses for each word, and their difference.
 
     Returns ``doc_id, n_words, ce_target, ce_background, ce_difference`` in
     nats; a low difference speaks for the target. NULL texts and texts without
     words have no losses. Without good documents, or without others, the model
-    that lacks them is uniform. Repeated rows repeat.
+    that lacks them is uniform. Repeated rows repeat. With ``size``, words
+    beyond the so many most frequent ones count as one; else all are told apart.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    words = vocabulary(docs, size)
-    target, background = models(with_target(docs, labels), words)
-    known = pa.array(words, pa.large_string())
-    shared = docs.sparkSession.sparkContext.broadcast((target.ravel(), background.ravel()))
-
-    def run(batches):
+    known = None if size is None else pa.array(vocabulary(docs, size), pa.large_string())
+    losses, n_pairs = models(with_target(docs, labels), known)
+    hot = F.col("n") >= max(2.0, n_pairs * HOT_SHARE)
+    often = losses.where(hot).select("p", "target", "background").toArrow().sort_by("p")
+    shared = spark.sparkContext.broadcast([often[c].to_numpy() for c in ("p", "target", "background")])
+
+    def split(flat, counts):
+        """Key and text of each word's pair, its place among the frequent ones, and whether it is one."""
+        u, v, owner = pair_codes(flat, counts, known)
+        p, keys = pair_key(u, v), shared.value[0]
+        if not len(keys):
+            return p, owner, np.zeros(len(p), np.int64), np.zeros(len(p), bool)
+        at = np.minimum(np.searchsorted(keys, p), len(keys) - 1)
+        return p, owner, at, keys[at] == p
+
+    def whole(batches):
         for rows, flat, counts in word_chunks(batches):
-            keys, owner = pair_keys(flat, counts, known)
-            means = [
-                np.bincount(owner, losses[keys].astype(np.float64), len(counts)) / np.maximum(counts, 1)
-                for losses in shared.value
-            ]
-            empty = counts == 0
+            _, owner, at, found = split(flat, counts)
+            sums = [np.bincount(owner[found], x[at[found]], len(counts)).astype(float) for x in shared.value[1:]]
             yield pa.RecordBatch.from_pydict(
                 {
+                    "row": rows["row"].combine_chunks(),
                     "doc_id": rows["doc_id"].combine_chunks(),
                     "n_words": pa.array(counts),
-                    "ce_target": pa.array(means[0], mask=empty),
-                    "ce_background": pa.array(means[1], mask=empty),
-                    "ce_difference": pa.array(means[0] - means[1], mask=empty),
+                    "rest": pa.array(np.bincount(owner[~found], minlength=len(counts))),
+                    "target": pa.array(sums[0]),
+                    "background": pa.array(sums[1]),
                 }
             )
 
-    schema = "doc_id long, n_words long, ce_target double, ce_background double, ce_difference double"
-    return docs.mapInArrow(run, schema)
+    def others(batches):
+        for rows, flat, counts in word_chunks(batches):
+            p, owner, _, found = split(flat, counts)
+            if found.all():
+                continue
+            p, owner, n = summed(p[~found], owner[~found], np.ones((1, int((~found).sum())), np.int64))
+            yield pa.RecordBatch.from_pydict(
+                {"row": rows["row"].to_numpy()[owner], "p": p, "times": n[0].astype(np.int32)}
+            )
+
+    # Rows that are alike have one key, and the sums of all of them.
+    rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    cold = rows.select("row", "text").mapInArrow(others, "row long, p long, times int")
+    cold = cold.join(losses.where(~hot).select("p", "target", "background"), "p")
+    cold = cold.groupBy("row").agg(
+        F.sum("times").alias("times"),
+        *(F.sum(F.col(s) * F.col("times")).alias(f"{s}_rest") for s in ("target", "background")),
+    )
+    warm = rows.select("row", "doc_id", "text").mapInArrow(
+        whole, "row long, doc_id long, n_words long, rest long, target double, background double"
+    )
+
+    def mean(side: str):
+        rest = F.when(F.col("rest") > 0, F.col("rest") * F.col(f"{side}_rest") / F.col("times")).otherwise(0.0)
+        return F.when(F.col("n_words") > 0, (F.col(side) + rest) / F.col("n_words"))
+
+    found = warm.join(cold, "row", "left").select(
+        "doc_id", "n_words", mean("target").alias("ce_target"), mean("background").alias("ce_background")
+    )
+    return found.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))

@@ -76,3 +76,46 @@ def test_repeated_and_no_rows(session, docs):
     found = ce.score(docs([(1, "a b"), (1, "a b"), (None, "c")]), labels)
     assert found.count() == 3
     assert ce.score(docs([]), labels).count() == 0
+
+
+def plain_loss(pairs, a, b, scale, n_words):
+    single = sum(n for (_, y), n in pairs.items() if y == b) * scale + 1
+    single /= sum(pairs.values()) * scale + n_words
+    row = [n * scale for (x, _), n in pairs.items() if x == a]
+    if not row:
+        return -math.log(single)
+    kept = max(pairs[a, b] * scale - ce.DISCOUNT, 0)
+    return -math.log((kept + sum(min(n, ce.DISCOUNT) for n in row) * single) / sum(row))
+
+
+def test_every_word_counts_however_many_there_are(session, docs):
+    # 3,000 words, each on two documents, are more than a table of 2,048 has.
+    rows = [(k, " ".join(f"w{k // 2 * 50 + j}" for j in range(50))) for k in range(120)]
+    good = set(range(0, 60, 2))
+    pairs = [Counter(), Counter()]
+    for k, text in rows:
+        words = text.split()
+        pairs[k not in good].update(zip([None, *words], words))
+    scale = [1, sum(pairs[0].values()) / sum(pairs[1].values())]
+    labels = session.createDataFrame([(k, 1) for k in good], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in ce.score(docs(rows), labels).collect()}
+    assert len(found) == len(rows)
+    for k in (0, 1, 61, 119):
+        words = rows[k][1].split()
+        for name, counts, by in zip(("ce_target", "ce_background"), pairs, scale):
+            losses = [plain_loss(counts, a, b, by, 3001) for a, b in zip([None, *words], words)]
+            assert found[k][name] == pytest.approx(sum(losses) / 50, rel=1e-6)
+    assert found[0]["ce_difference"] < 0 < found[61]["ce_difference"]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 1.0])
+def test_frequent_pairs_and_joined_ones_add_up(session, docs, monkeypatch, share):
+    monkeypatch.setattr(ce, "HOT_SHARE", share)
+    rows = [*ROWS, (1, ROWS[0][1]), (None, "the cat sat")]
+    labels = session.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    found = ce.score(docs(rows), labels).collect()
+    assert len(found) == len(rows)
+    whole = {r["doc_id"]: tuple(r)[1:] for r in ce.score(docs(ROWS + ROWS[:1] + [(8, "the cat sat")]), labels).collect()}
+    for row in found:
+        for got, want in zip(tuple(row)[1:], whole[row["doc_id"] or 8]):
+            assert got == (want if want is None else pytest.approx(want))
