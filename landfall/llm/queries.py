@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from landfall.llm import (
     cross_entropy,
     decontamination,
+    hard_negatives,
     html_text,
     lattice,
     line_dedup,
@@ -127,6 +128,43 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"))
 
 
+HARD_NEGATIVES_SQL = f"""
+WITH whole AS (
+  SELECT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor({hard_negatives.SCALE} * x::DOUBLE) FOR x IN embedding] AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         list_inner_product(a.vector, r.vector)::BIGINT AS score
+  FROM whole a JOIN whole r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % {hard_negatives.ANCHOR_EVERY} = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)
+          <= {hard_negatives.POSITIVES})
+SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score,
+       s.score AS negative_score,
+       row_number() OVER (
+         PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND {hard_negatives.LOWEST} * p.positive_score <= 100 * s.score
+ AND 100 * s.score <= {hard_negatives.HIGHEST} * p.positive_score
+QUALIFY rank <= {hard_negatives.NEGATIVES}
+"""
+ORACLES["op13_hard_negatives"] = HARD_NEGATIVES_SQL
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(
+        table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
