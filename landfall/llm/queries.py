@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import (
+    byte_pairs,
     cross_entropy,
     decontamination,
     hard_negatives,
@@ -128,6 +129,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"))
 
 
+@query
+def op11_byte_pair_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_pairs.round_trip(table(spark, folder, "documents", "doc_id", "text"))
+
+
 HARD_NEGATIVES_SQL = f"""
 WITH whole AS (
   SELECT vec_id,
