@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import (
     byte_pairs,
+    conversations,
     cross_entropy,
     decontamination,
     hard_negatives,
@@ -134,6 +135,12 @@ def op11_byte_pair_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.round_trip(table(spark, folder, "documents", "doc_id", "text"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damage(rows))
+
+
 HARD_NEGATIVES_SQL = f"""
 WITH whole AS (
   SELECT vec_id,
