@@ -24,6 +24,8 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Bytes of text whose words are replayed together.
 REPLAY_BYTES = 32 << 20
@@ -196,9 +198,16 @@ class MergeReplay:
                 begins = np.maximum.accumulate(np.where(np.concatenate([[True], ~overlaps]), steps, 0))
                 at = at[(steps - begins) % 2 == 0]
             gone = after[at]
+            following = after[gone]
+            # Between two neighbours joined at once, the first one's pair with
+            # what the second began with comes and goes.
+            besides = at[:-1][following[:-1] == at[1:]]
+            if len(besides):
+                passing = self.merge_of(np.full(len(besides), merge), ids[after[after[besides]]])
+                if (passing < merge).any():
+                    early.append(besides[passing < merge])
             ids[at] = merge
             alive[gone] = False
-            following = after[gone]
             after[at] = following
             inner = following >= 0
             before[following[inner]] = at[inner]
@@ -209,8 +218,8 @@ class MergeReplay:
             if len(touched):
                 fresh = self.merge_of(ids[touched], ids[after[touched]])
                 pair[touched] = fresh
-                if (fresh <= merge).any():
-                    early.append(touched[fresh <= merge])
+                if (fresh < merge).any():
+                    early.append(touched[fresh < merge])
                 kept = fresh != NONE
                 if kept.any():
                     enter(touched[kept])
@@ -302,17 +311,17 @@ def encode_texts(
     table = spark.sparkContext.broadcast(tuple(read_ranks(spark, ranks or default_ranks()).items()))
     pattern = pattern or default_pattern()
     patterns = wide_pattern(pattern), latin_pattern(pattern)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table.value, *patterns)
-        fields = [part.split()[0] for part in schema.split(",")]
 
         def encode(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             rows = pa.Table.from_batches(held)
             texts = [t or "" for t in rows["text"].to_pylist()]
             made = [function(encoder, ids) for ids in encoder.ids(texts)]
             columns = [rows["doc_id"].to_pylist(), *zip(*made)]
-            return pa.RecordBatch.from_pydict(dict(zip(fields, map(list, columns))))
+            return pa.RecordBatch.from_pydict(dict(zip(arrow.names, map(list, columns))), schema=arrow)
 
         held: list[pa.RecordBatch] = []
         size = 0
