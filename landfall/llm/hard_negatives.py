@@ -41,9 +41,11 @@ POSITIVE_ROUNDS = (0.8, 0.4, 0.2)
 NEGATIVE_ROUNDS = (0.8, 0.65)
 
 # Components of one block of rows, and partial scores held at once.
-BLOCK_VALUES = 1 << 21
+BLOCK_VALUES = 1 << 20
 BLOCK_ANCHORS = 1 << 15
 CELLS = 1 << 22
+# Tasks of one round; beyond, tasks get several blocks, one after the other.
+MOST_TASKS = 100_000
 # Dimensions whose lists are added up between two rounds of pruning.
 STEP = 8
 # Squared norms must stay below, so that a hundred times a score is a long.
@@ -273,7 +275,10 @@ def _search(
         "vector",
         "windows",
     )
-    placed = left.unionByName(right).repartition("part", "i", "j")
+    # Blocks are small in bytes and large in work, so none should share a task
+    # while others idle: as many partitions as there are blocks, within bounds.
+    blocks = sizes.agg(F.sum(F.col("n_i").cast("long") * F.col("n_j"))).first()[0] or 1
+    placed = left.unionByName(right).repartition(min(blocks, MOST_TASKS), "part", "i", "j")
     placed = placed.sortWithinPartitions("part", "i", "j", "kind")
     run = functools.partial(_search_blocks, dims=dims, k=k, same_label=same_label)
     return placed.mapInArrow(run, HITS)
