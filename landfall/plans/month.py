@@ -36,7 +36,7 @@ from landfall.sources.warehouse import (
     append_new_rows,
     create_tables,
     fit_to_table,
-    load_months,
+    recover,
 )
 from landfall.sources.writers import write_delimited, write_month
 
@@ -64,7 +64,8 @@ class Inputs:
 class Rules:
     """Choices of the cleaning and of the load.
 
-    ``partial`` adds the rows of a partial file instead of replacing the month.
+    ``partial`` adds the rows of a partial file instead of replacing the month;
+    ``batch`` names the file, by default after its rows.
     ``stage_format`` may be ``csv``, which is then loaded from that text.
     """
 
@@ -73,6 +74,7 @@ class Rules:
     glue: str = RACE_SEPARATOR
     stage_format: str = "parquet"
     partial: bool = False
+    batch: str | None = None
     strict_keys: bool = False
 
 
@@ -183,11 +185,13 @@ def run_month(
     """Run one month end to end; returns the key report of each table.
 
     The cleaned month is written under ``stage``, the dimensions to scratch, and
-    values and keys are checked, before the warehouse changes. New dimensions
-    are then written beside the old ones, and the tables switched to them; if
-    the load of the facts fails they are switched back, so a failure anywhere
-    leaves all nine tables as they were. Running a month again leaves the same
-    warehouse. ``csv`` names a folder that also receives the dimensions as
+    values and keys are checked, before the warehouse changes. What an earlier
+    run left half done is finished or forgotten. New dimensions and the new month
+    are then written beside the old ones, and one record makes them the tables',
+    so a failure anywhere leaves all nine tables as they were, and a driver lost
+    at any point all nine old or all nine new. The rows of a partial file are
+    merged after that; if it fails, the dimensions are switched back. Running a
+    month again leaves the same warehouse. ``csv`` names a folder that also receives the dimensions as
     delimited text. Two values for a code stop the load; other broken keys are
     reported, as the warehouse itself does not enforce keys, and stop it with
     ``strict_keys``.
@@ -215,19 +219,21 @@ def run_month(
             for name, frame in dimensions.items():
                 write_delimited(frame, f"{csv}/{name}", sort_by=frame.columns[:1])
 
+        recover(spark, database)
         create_tables(spark, schemas.TABLES.values(), database)
         replacement = Replacement(spark, database)
         months = [(month.year, month.month)]
+        stages = [
+            functools.partial(replacement.stage, dimensions[table.name], table)
+            for table in schemas.DIMENSIONS
+        ]
+        if not rules.partial:
+            stages.append(functools.partial(replacement.stage_months, facts, months))
         try:
-            together(
-                spark,
-                *[
-                    functools.partial(replacement.stage, dimensions[table.name], table)
-                    for table in schemas.DIMENSIONS
-                ],
-            )
+            together(spark, *stages)
             replacement.switch()
-            (append_new_rows if rules.partial else load_months)(facts, months, database)
+            if rules.partial:
+                append_new_rows(facts, months, database, rules.batch)
         except BaseException:
             replacement.undo()
             raise

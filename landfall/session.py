@@ -80,6 +80,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever storage."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder for the stages of one job, deleted when the job ends."""

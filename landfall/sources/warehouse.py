@@ -1,9 +1,13 @@
-"""Warehouse tables: create, drop, refresh dimensions, load the fact table."""
+"""Warehouse tables: create, drop, refresh dimensions, load the fact table.
+
+All changes go through the journal: folders are written first, one record makes
+them the warehouse's, and the catalog follows. See ``landfall.sources.journal``.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +15,12 @@ from pyspark.sql import types as T
 
 from landfall.functions.numbers import load_cast
 from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, TABLES, Table
-from landfall.session import delete_path
+from landfall.session import delete_path, materialize, path_exists, scratch_folder
+from landfall.sources.journal import Conflict, Journal, Month, Record
+
+
+# What folders of months are called.
+MONTHS = f"{FACT.name}.months"
 
 
 def qualified(table: Table, database: str) -> str:
@@ -53,12 +62,28 @@ def create_tables(spark: SparkSession, tables: Iterable[Table], database: str) -
 
 
 def drop_tables(spark: SparkSession, tables: Iterable[Table], database: str) -> None:
+    """Remove tables with their rows, from the journal first."""
+    tables = list(tables)
+    names = {table.name for table in tables}
+    journal = Journal(spark, database)
+    base = settle(spark, database, journal)
+    left = replace(
+        base,
+        tables={n: f for n, f in base.tables.items() if n not in names},
+        months={} if FACT.name in names else base.months,
+    )
+    if left.folders() != base.folders():
+        left = journal.commit(base, left)
+        journal.mark(left.generation)
     for table in tables:
         spark.sql(f"DROP TABLE IF EXISTS {qualified(table, database)}")
+    for folder in journal.replaced(base, left):
+        delete_path(spark, folder)
 
 
 def read_table(spark: SparkSession, table: Table, database: str) -> DataFrame:
-    """A table with its columns in declared order."""
+    """A table with its columns in declared order, as of the newest record."""
+    settle(spark, database)
     return spark.table(qualified(table, database)).select(*table.column_names)
 
 
@@ -97,49 +122,189 @@ def _point_to(spark: SparkSession, table: Table, database: str, folder: str) ->
     spark.catalog.refreshTable(name)
 
 
-class Replacement:
-    """New contents of dimensions, written beside the old ones.
+def _month_of(month: tuple[int, int]) -> str:
+    return f"PARTITION (i94yr = {month[0]}, i94mon = {month[1]})"
+
+
+def _point_months(
+    spark: SparkSession, database: str, months: Mapping[tuple[int, int], Month]
+) -> None:
+    """Let the fact table's months lie in these folders; others stay as they are."""
+    if not months:
+        return
+    name = qualified(FACT, database)
+    there = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = {m: v for m, v in months.items() if f"i94yr={m[0]}/i94mon={m[1]}" not in there}
+    if new:
+        added = " ".join(f"{_month_of(m)} LOCATION '{v.folder}'" for m, v in new.items())
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    for month, value in months.items():
+        if month not in new:
+            spark.sql(f"ALTER TABLE {name} {_month_of(month)} SET LOCATION '{value.folder}'")
+    spark.catalog.refreshTable(name)
 
-    ``stage`` writes a table's rows to a folder of their own, where a value that
-    does not fit is an error; no table has changed by then. ``switch`` lets the
-    tables point there. ``undo`` lets them point back, ``finish`` deletes what
-    they no longer point to. Files are never overwritten, so a reader sees the
-    old rows or the new ones.
+
+def _bring_up(
+    spark: SparkSession,
+    database: str,
+    journal: Journal,
+    record: Record,
+    known: Record | None = None,
+) -> None:
+    """Let the catalog have a record, of which it has ``known`` already.
+
+    Every step can be repeated, so a driver that is lost in between leaves work
+    for the next one and nothing else.
+    """
+    known = known or Record()
+    for name, folder in record.tables.items():
+        if known.tables.get(name) != folder:
+            create_tables(spark, [TABLES[name]], database)
+            _point_to(spark, TABLES[name], database, folder)
+    moved = {m: v for m, v in record.months.items() if known.months.get(m) != v}
+    if moved:
+        create_tables(spark, [FACT], database)
+    _point_months(spark, database, moved)
+    journal.mark(record.generation)
+
+
+def settle(spark: SparkSession, database: str, journal: Journal | None = None) -> Record:
+    """Bring the catalog to the newest record, if it is behind; returns that record."""
+    journal = journal or Journal(spark, database)
+    record = journal.newest()
+    if record.generation != journal.in_catalog:
+        _bring_up(spark, database, journal, record)
+    return record
+
+
+def recover(spark: SparkSession, database: str) -> Record:
+    """What a job does first: finish or forget what an earlier one left half done.
+
+    A change whose record is there is finished, in a catalog that knows nothing
+    of the tables as well. Folders that no record names are deleted, so call it
+    while no other job is writing.
+    """
+    journal = Journal(spark, database)
+    record = settle(spark, database, journal)
+    for folder in journal.orphans(record, [*TABLES, MONTHS]):
+        delete_path(spark, folder)
+    journal.tidy()
+    return record
+
+
+class Replacement:
+    """New contents of dimensions and of months, written beside the old ones.
+
+    ``stage`` and ``stage_months`` write rows to folders of their own, where a
+    value that does not fit is an error; nothing has changed by then. ``switch``
+    commits one record that names them all and lets the catalog follow. ``undo``
+    commits what was before, ``finish`` deletes what no longer counts. Files are
+    never overwritten, so a reader sees the old rows or the new ones. A process
+    that is lost leaves the old tables before the commit and, once somebody
+    reads them, the new ones after it.
     """
 
     def __init__(self, spark: SparkSession, database: str):
         self.spark, self.database = spark, database
+        self.journal = Journal(spark, database)
         self.folders: dict[str, str] = {}
-        self.before: dict[str, str] = {}
+        self.months: dict[tuple[int, int], Month] = {}
+        self.staged: list[str] = []
+        self.before: Record | None = None
+        self.outdated: set[str] = set()
+
+    def _new_folder(self, name: str) -> str:
+        folder = self.journal.new_folder(name)
+        self.staged.append(folder)
+        return folder
 
     def stage(self, df: DataFrame, table: Table, names: Mapping[str, str] | None = None) -> None:
         """``df`` may read the table. Stages of several tables may run at once."""
-        home = self.spark.sql(f"DESCRIBE DATABASE `{self.database}`")
-        home = home.where("info_name = 'Location'").first()["info_value"]
-        folder = f"{home}/{table.name.lower()}-{uuid.uuid4().hex[:12]}"
-        self.folders[table.name] = folder
+        folder = self._new_folder(table.name)
         fit_to_table(df, table, names).write.parquet(folder)
+        self.folders[table.name] = folder
 
-    def switch(self) -> None:
+    def stage_months(
+        self,
+        df: DataFrame,
+        months: Sequence[tuple[int, int]],
+        batches: Mapping[tuple[int, int], tuple[str, ...]] | None = None,
+    ) -> None:
+        """Complete contents of months, from a frame that has no row of any other.
+
+        A month without rows stays as it is.
+        """
+        fitted = _only_months(fit_to_table(df, FACT), months)
+        folder = self._new_folder(MONTHS)
+        _spread(fitted, months).write.partitionBy(*FACT.partitions).parquet(folder)
+        for month in months:
+            place = f"{folder}/i94yr={month[0]}/i94mon={month[1]}"
+            if path_exists(self.spark, place):
+                self.months[month] = Month(place, (batches or {}).get(month, ()))
+
+    def switch(self, base: Record | None = None) -> None:
+        """Commit; on top of ``base`` alone if it is given, else of whatever is newest."""
         try:
-            for name, folder in self.folders.items():
-                old = location_of(self.spark, TABLES[name], self.database)
-                _point_to(self.spark, TABLES[name], self.database, folder)
-                self.before[name] = old
+            while True:
+                before = base or settle(self.spark, self.database)
+                after = replace(
+                    before,
+                    tables=before.tables | self.folders,
+                    months=before.months | self.months,
+                )
+                # Folders of tables that were there before there was a journal.
+                unnamed = {
+                    location_of(self.spark, TABLES[n], self.database)
+                    for n in self.folders
+                    if n not in before.tables and self.spark.catalog.tableExists(qualified(TABLES[n], self.database))
+                }
+                try:
+                    after = self.journal.commit(before, after)
+                except Conflict:
+                    if base:
+                        raise
+                    continue
+                break
+            self.before, self.outdated = before, {*self.journal.replaced(before, after), *unnamed}
+            _bring_up(self.spark, self.database, self.journal, after, before)
         except BaseException:
             self.undo()
             raise
 
     def undo(self) -> None:
-        for name, folder in self.before.items():
-            _point_to(self.spark, TABLES[name], self.database, folder)
-        self.before = {}
-        for folder in self.folders.values():
+        """What was before is the newest record again; staged folders go."""
+        if self.before is not None:
+            before, self.before = self.before, None
+            newest = self.journal.newest()
+            tables = {n: f for n, f in newest.tables.items() if n not in self.folders}
+            months = {m: v for m, v in newest.months.items() if m not in self.months}
+            tables |= {n: f for n, f in before.tables.items() if n in self.folders}
+            months |= {m: v for m, v in before.months.items() if m in self.months}
+            missing_tables = [n for n in self.folders if n not in before.tables]
+            missing_months = [m for m in self.months if m not in before.months]
+            record = self.journal.commit(newest, replace(newest, tables=tables, months=months))
+            for name in missing_tables:
+                self._forget_table(TABLES[name])
+            for month in missing_months:
+                self.spark.sql(
+                    f"ALTER TABLE {qualified(FACT, self.database)} DROP IF EXISTS {_month_of(month)}"
+                )
+            _bring_up(self.spark, self.database, self.journal, record)
+        for folder in self.staged:
             delete_path(self.spark, folder)
+        self.staged = []
+
+    def _forget_table(self, table: Table) -> None:
+        """A table that had no rows before has none again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {qualified(table, self.database)}")
+        create_tables(self.spark, [table], self.database)
 
     def finish(self) -> None:
-        for folder in self.before.values():
+        """Delete the folders that were replaced, and staged ones without rows."""
+        used = {f.split("/i94yr=")[0] for f in [*self.folders.values(), *(m.folder for m in self.months.values())]}
+        for folder in [*self.outdated, *(f for f in self.staged if f not in used)]:
             delete_path(self.spark, folder)
+        self.before, self.staged, self.outdated = None, [], set()
 
 
 def refresh_dimension(
@@ -196,24 +361,87 @@ def _spread(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
 def load_months(
     df: DataFrame, months: Sequence[tuple[int, int]], database: str
 ) -> None:
-    """Load complete months into the fact table; loading again changes nothing."""
-    fitted = _only_months(fit_to_table(df, FACT), months)
-    _spread(fitted, months).write.insertInto(qualified(FACT, database), overwrite=True)
+    """Load complete months into the fact table; loading again changes nothing.
+
+    The months are written to folders of their own, and the table's partitions
+    switched to them all at once. A month without rows stays as it is.
+    """
+    replacement = Replacement(df.sparkSession, database)
+    try:
+        replacement.stage_months(df, months)
+        replacement.switch()
+    except BaseException:
+        replacement.undo()
+        raise
+    replacement.finish()
+
+
+def batch_token(df: DataFrame) -> str:
+    """Names a partial file by its rows, in whatever order: their count and hashes."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    other = F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in df.columns])
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in (row, other)]
+    return "/".join(str(x or 0) for x in df.agg(F.count(F.lit(1)), *sums).first())
 
 
 def append_new_rows(
-    df: DataFrame, months: Sequence[tuple[int, int]], database: str
-) -> None:
+    df: DataFrame, months: Sequence[tuple[int, int]], database: str, batch: str | None = None
+) -> bool:
     """Add the rows of a partial file whose key the fact table lacks.
 
-    Only the announced months of the table are read, and of them only the key.
-    A missing part of a key equals a missing one, so a retry adds nothing. Rows
-    that repeat a new key within the file are all added; the key check tells.
+    A month is merged by copy: its stored rows and the new ones are written to a
+    folder of their own, to which its partition is switched. ``batch`` names the
+    file, by default after its rows. A month remembers the files that went into
+    it until it is loaded as a whole, so a file that comes again, after a lost
+    answer or from a second writer at the same time, is refused: the result tells
+    whether it was merged. Of two writers with different files the later one
+    merges again, on top of the first one's rows.
+
+    Only the announced months are read. A missing part of a key equals a missing
+    one. Rows that repeat a new key within the file are all added; the key check
+    tells.
     """
+    spark = df.sparkSession
     fitted = _only_months(fit_to_table(df, FACT), months)
-    stored = df.sparkSession.table(qualified(FACT, database)).filter(_in_months(months))
-    stored = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
+    with scratch_folder(spark, "partial") as folder:
+        given = materialize(spark, fitted, "given", folder)
+        batch = batch or batch_token(given)
+        while True:
+            base = settle(spark, database)
+            merged = [m for m in months if batch in base.months.get(m, Month("")).batches]
+            if merged:
+                return False
+            replacement = Replacement(spark, database)
+            try:
+                _stage_merge(replacement, given, months, base, batch)
+                replacement.switch(base)
+            except Conflict:
+                replacement.undo()
+                continue
+            except BaseException:
+                replacement.undo()
+                raise
+            replacement.finish()
+            return True
+
+
+def _stage_merge(
+    replacement: Replacement,
+    given: DataFrame,
+    months: Sequence[tuple[int, int]],
+    base: Record,
+    batch: str,
+) -> None:
+    """Stage the months of which ``given`` has rows: the stored ones and the new."""
+    spark, database = replacement.spark, replacement.database
+    present = given.select("i94yr", "i94mon").distinct().collect()
+    touched = [m for m in months if m in {(int(r[0]), int(r[1])) for r in present}]
+    if not touched:
+        return
+    name = qualified(FACT, database)
+    stored = spark.table(name).filter(_in_months(touched)).select(*FACT.storage_order)
+    keys = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
     same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
-    new = fitted.join(stored, same, "left_anti")
-    new = _spread(new.select(*FACT.storage_order), months)
-    new.write.insertInto(qualified(FACT, database))
+    new = given.join(keys, same, "left_anti").select(*FACT.storage_order)
+    batches = {m: (*base.months.get(m, Month("")).batches, batch) for m in touched}
+    replacement.stage_months(stored.unionByName(new), touched, batches)

@@ -1,0 +1,58 @@
+"""Runs one month and ends without a farewell at a given step. Used by test_recovery."""
+
+import datetime
+import json
+import os
+import sys
+
+from pyspark.sql import SparkSession
+
+from landfall.plans.month import Inputs, Rules, run_month
+from landfall.session import configure
+from landfall.sources import journal, warehouse
+
+
+def dying(function, at, counter):
+    """The function; the process ends before its call number ``at``."""
+
+    def run(*args, **named):
+        if counter["left"] == 0:
+            os._exit(17)
+        counter["left"] -= 1
+        return function(*args, **named)
+
+    return run
+
+
+def main():
+    given = json.loads(sys.argv[1])
+    spark = configure(
+        SparkSession.builder.master("local[2]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.checkpoint.dir", given["scratch"])
+        .config("spark.sql.warehouse.dir", given["scratch"])
+        .getOrCreate()
+    )
+    warehouse.create_database(spark, given["database"], given["home"])
+    step = given["step"]
+    counter = {"left": given["after"]}
+    holder = {"commit": (journal.Journal, "commit"), "mark": (journal.Journal, "mark")}.get(
+        step, (warehouse, step)
+    )
+    if step != "none":
+        setattr(*holder, dying(getattr(*holder), step, counter))
+    rules = Rules(partial=given["partial"])
+    run_month(
+        spark,
+        datetime.date(*given["month"]),
+        Inputs(**given["inputs"]),
+        given["database"],
+        given["stage"],
+        rules=rules,
+    )
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
