@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.functions.text import part, part_count, strip, without
+from landfall.session import materialize
 
 # Block keys with the table each feeds and that table's columns.
 BLOCKS = {
@@ -48,9 +49,12 @@ def entry_field(line: Column, index: int) -> Column:
     return F.upper(without(strip(part(line, "=", index)), "'"))
 
 
-def parse_labels(lines: DataFrame) -> DataFrame:
+def parse_labels(lines: DataFrame, folder: str | None = None) -> DataFrame:
     """Lines of ``read_lines`` to entries: ``file, block_key, code, value``.
 
+    The text is read once: headers and entries are written, to ``folder`` or to
+    scratch space, and all else reads those.
+
     The latest header is carried down in two levels, so no file passes through
     one task: the last header of every split is carried over the splits of a
     file (one row per split), then over the lines inside a split, whose size
@@ -63,6 +67,7 @@ def parse_labels(lines: DataFrame) -> DataFrame:
         "file", "block", "row", "sub", "line",
         F.when(is_header(line), header_key(line)).alias("here"),
     )
+    marked = materialize(lines.sparkSession, marked, "marked-lines", folder)
 
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1

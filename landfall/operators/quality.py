@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.numbers import misfits
+from landfall.operators.joins import sized_broadcast
 from landfall.schemas import LOAD_NAMES, Table
+from landfall.session import materialize
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -66,3 +69,49 @@ def key_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
         F.count_if(F.col("n") > 1).alias("n_duplicate_keys"),
         F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("n_incomplete"),
     )
+
+
+def _key_hash(key: Sequence[str]) -> Column:
+    """A number for each key, NULLs told apart from values by their place."""
+    parts = [F.xxhash64(F.lit(n), F.col(f"`{c}`")) for n, c in enumerate(key)]
+    return F.xxhash64(*parts)
+
+
+def repeating_rows(df: DataFrame, key: Sequence[str], folder: str | None = None) -> DataFrame:
+    """The key columns of all rows whose key's hash occurs more than once.
+
+    A first pass counts 64-bit hashes, so its shuffle carries two numbers a row
+    at most, whatever the key holds; hashes that repeat are written, and a second
+    pass reads the rows that have them. Every key that repeats is among these,
+    and hardly any other.
+    """
+    hashed = df.select(*key, _key_hash(key).alias("__hash"))
+    often = hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    often = materialize(df.sparkSession, often.select("__hash"), "key-hashes", folder)
+    return hashed.join(sized_broadcast(often), "__hash", "left_semi").select(*key)
+
+
+def duplicate_keys_by_hash(
+    df: DataFrame, key: Sequence[str], folder: str | None = None
+) -> DataFrame:
+    """What ``duplicate_keys`` finds, in two passes; for wide keys and many rows."""
+    return duplicate_keys(repeating_rows(df, key, folder), key)
+
+
+def key_report_by_hash(df: DataFrame, key: Sequence[str], folder: str | None = None) -> DataFrame:
+    """What ``key_report`` finds, in two passes.
+
+    A row whose hash is its own is a key of its own, so only the others are
+    grouped by the key itself.
+    """
+    missing = functools.reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in key])
+    whole = df.agg(
+        F.count(F.lit(1)).alias("all_rows"), F.count_if(missing).alias("all_incomplete")
+    )
+    some = key_report(repeating_rows(df, key, folder), key)
+    return whole.join(F.broadcast(some)).select(
+        F.col("all_rows").alias("n_rows"),
+        (F.col("all_rows") - F.col("n_rows") + F.col("n_keys")).alias("n_keys"),
+        "n_duplicate_keys",
+        F.col("all_incomplete").alias("n_incomplete"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import schemas
@@ -84,6 +84,33 @@ def arrivals_by(
     )
 
 
+# Season of each calendar month.
+SEASONS = {
+    "winter": (12, 1, 2),
+    "spring": (3, 4, 5),
+    "summer": (6, 7, 8),
+    "autumn": (9, 10, 11),
+}
+
+
+def calendar(months: Sequence[tuple[int, int]], spark: SparkSession) -> DataFrame:
+    """One row a month: ``i94yr``, ``i94mon``, ``quarter``, ``season``."""
+    season = {m: name for name, some in SEASONS.items() for m in some}
+    rows = [(y, m, (m + 2) // 3, season[m]) for y, m in months]
+    made = spark.createDataFrame(rows, "i94yr int, i94mon int, quarter int, season string")
+    return made.withColumns({c: F.col(c).cast(schemas.NUMERIC) for c in ("i94yr", "i94mon")})
+
+
+def in_months(facts: DataFrame, months: DataFrame) -> DataFrame:
+    """The facts of a calendar's months; of a stored table, only their partitions.
+
+    The calendar has a row a month, so it is small. A filter on it reaches the
+    scan of the facts while the query runs, as the list of partitions to read.
+    """
+    wanted = months.select("i94yr", "i94mon").distinct()
+    return facts.join(F.broadcast(wanted), ["i94yr", "i94mon"], "left_semi")
+
+
 def states_with_demography(addresses: DataFrame, demography: DataFrame) -> DataFrame:
     """The address codes with their state's demography: one hop outward.
 
@@ -116,33 +143,46 @@ def ports_with_airports(ports: DataFrame, airports: DataFrame) -> DataFrame:
     return attach_many(keyed, side, {"__city": "airport_city"}).drop("__city")
 
 
-def unmatched_codes(
-    facts: DataFrame, tables: Mapping[str, DataFrame], roles: Sequence[str] = tuple(ROLES)
-) -> DataFrame:
-    """Codes in use that their table lacks: ``role, code, n_rows``.
-
-    All roles are counted in a single pass over the facts; what is joined are
-    the distinct codes.
-    """
-    types = dict(schemas.FACT.columns)
+def _coded(df: DataFrame, role: str, key: str) -> Column:
+    """A role and the text of its code, in the type that the facts have."""
+    target = dict(schemas.FACT.columns)[ROLES[role].fact_key]
+    code = load_cast(F.col(key), df.schema[key].dataType, target).cast("string")
+    return F.struct(F.lit(role).alias("role"), code.alias("code"))
 
-    def pair(df: DataFrame, role: str, key: str):
-        target = types[ROLES[role].fact_key]
-        code = load_cast(F.col(key), df.schema[key].dataType, target).cast("string")
-        return F.struct(F.lit(role).alias("role"), code.alias("code"))
 
-    pairs = F.array(*[pair(facts, r, ROLES[r].fact_key) for r in roles])
-    used = (
-        facts.select(F.explode(pairs).alias("pair"))
-        .select("pair.*")
+def code_counts(
+    facts: DataFrame, roles: Sequence[str] = tuple(ROLES), also: Sequence[str] = ()
+) -> DataFrame:
+    """Codes in use: ``role, code``, further columns, ``n_rows``; one pass over the facts."""
+    pairs = F.array(*[_coded(facts, r, ROLES[r].fact_key) for r in roles])
+    return (
+        facts.select(*also, F.explode(pairs).alias("pair"))
+        .select(*also, "pair.*")
         .filter(F.col("code").isNotNull())
-        .groupBy("role", "code")
+        .groupBy("role", "code", *also)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+
+
+def codes_without_table(
+    counts: DataFrame, tables: Mapping[str, DataFrame], roles: Sequence[str] = tuple(ROLES)
+) -> DataFrame:
+    """The rows of ``code_counts`` whose code its table lacks."""
     known = None
     for r in roles:
         table = tables[ROLES[r].table]
-        one = table.select(pair(table, r, ROLES[r].table_key).alias("pair"))
+        one = table.select(_coded(table, r, ROLES[r].table_key).alias("pair"))
         one = one.select("pair.*")
         known = one if known is None else known.unionByName(one)
-    return used.join(known, ["role", "code"], "left_anti")
+    return counts.join(known, ["role", "code"], "left_anti")
+
+
+def unmatched_codes(
+    facts: DataFrame, tables: Mapping[str, DataFrame], roles: Sequence[str] = tuple(ROLES)
+) -> DataFrame:
+    """Codes in use that their table lacks: ``role, code, n_rows``.
+
+    All roles are counted in a single pass over the facts; what is joined are
+    the distinct codes.
+    """
+    return codes_without_table(code_counts(facts, roles), tables, roles)

@@ -6,6 +6,7 @@ import functools
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -38,12 +39,19 @@ from landfall.operators.labels import (
     split_ports,
 )
 from landfall.operators.nulls import NA_TOKENS, fill_none, normalize_na
-from landfall.operators.quality import duplicate_keys, key_report, load_report
+from landfall.operators.quality import (
+    duplicate_keys,
+    duplicate_keys_by_hash,
+    key_report,
+    key_report_by_hash,
+    load_report,
+)
 from landfall.plans import shapes
 from landfall.plans.month import Inputs, run_month
 from landfall.plans.shapes import ANSI, SPARK, load
 from landfall.session import configure, materialize, scratch_path
 from landfall.sources import warehouse
+from landfall.sources.journal import Conflict
 from landfall.sources.readers import (
     read_airports,
     read_delimited,
@@ -550,6 +558,24 @@ def fact_from_csv(spark, folder):
     return clean_fact(scan_fact(spark, f"{base}/{{}}", "sep19", "csv"))
 
 
+@query(f"WITH raw AS ({shapes.ARRIVALS_PER_ORDER_SQL}) {CLEAN_FACT_SQL}")
+def fact_schema_drift(spark, folder):
+    """A month whose files have other types, orders of columns, spellings and extra columns."""
+    path = scratch_path(spark, "drift")
+    raw = shapes.arrivals_per_order(spark, folder)
+    kind = F.col("cicid").cast("long") % 4
+    shifted = raw.select(*reversed(raw.columns), F.lit("new").alias("added"))
+    forms = [
+        raw,
+        shifted.withColumn("cicid", F.col("cicid").cast("long")).withColumn("i94yr", F.col("i94yr").cast("int")),
+        raw.withColumn("admnum", F.col("admnum").cast("decimal(15,0)").cast("string")),
+        raw.toDF(*[c.upper() for c in raw.columns]).drop("OCCUP").withColumn("occup", F.lit(None)),
+    ]
+    for n, form in enumerate(forms):
+        form.where(kind == n).write.mode("append").parquet(f"{path}/sep19")
+    return clean_fact(scan_fact(spark, f"{path}/{{}}", "sep19"))
+
+
 @query("""
 SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", x' AS label,
        CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END AS c_acctbal
@@ -685,6 +711,72 @@ def csv_month_load(spark, folder):
         return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
 
 
+@query("""
+SELECT 'P' || CAST(c_custkey AS VARCHAR) AS i94port_code, c_mktsegment AS state,
+       c_name AS city
+FROM customer
+""")
+def refresh_recovered(spark, folder):
+    """Two runs are lost: one after its commit, which holds, and one before it."""
+    table = schemas.PORT
+    ports = load(spark, folder, "customer").selectExpr(
+        "'P' || CAST(c_custkey AS STRING) AS i94port_code", "c_name AS city",
+        "c_mktsegment AS state",
+    )
+    names = {c: c for c in table.column_names}
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [table], database)
+        warehouse.refresh_dimension(ports.withColumn("city", F.lower("city")), table, database, names)
+        committed = warehouse.Replacement(spark, database)
+        committed.stage(ports, table, names)
+        base = warehouse.settle(spark, database)
+        record = replace(base, tables=base.tables | committed.folders)
+        committed.journal.commit(base, record)
+        staged = warehouse.Replacement(spark, database)
+        staged.stage(ports.withColumn("state", F.lit("never")), table, names)
+        warehouse.recover(spark, database)
+        return materialize(spark, warehouse.read_table(spark, table, database), "result")
+
+
+@query(_fact_rows_sql(shapes.ARRIVALS_SQL))
+def month_switched(spark, folder):
+    """Months loaded; a month's new rows are written but their commit fails; loaded again."""
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        facts = clean_fact(shapes.arrivals(spark, folder))
+        months = _months(load(spark, folder, "orders").selectExpr(
+            "year(o_orderdate) AS i94yr", "month(o_orderdate) AS i94mon"))
+        warehouse.load_months(facts, months, database)
+        year, month = min(months)
+        one = facts.filter((F.col("i94yr") == year) & (F.col("i94mon") == month))
+        lost = warehouse.Replacement(spark, database)
+        lost.stage_months(one.withColumn("fltno", F.lit("lost")), [(year, month)])
+        outdated = replace(warehouse.settle(spark, database), generation=0)
+        try:
+            lost.switch(outdated)
+        except Conflict:
+            warehouse.load_months(one, [(year, month)], database)
+            return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
+        raise AssertionError("a month was switched on top of an outdated record")
+
+
+@query(_fact_rows_sql(shapes.select_sql(_GAPPED, "orders")))
+def partial_merged(spark, folder):
+    """Half the rows are loaded; two writers merge the same file at the same time."""
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        orders = load(spark, folder, "orders").selectExpr(*SPARK.columns(_GAPPED))
+        facts = clean_fact(orders)
+        months = _months(facts)
+        warehouse.load_months(facts.filter(F.col("cicid") % 2 == 0), months, database)
+        slow = warehouse.PartialMerge(facts, months, database)
+        slow.stage()
+        fast = warehouse.append_new_rows(facts.repartition(3), months, database)
+        if (fast, slow.commit(), slow.run()) != (True, None, False):
+            raise AssertionError("a partial file was merged twice")
+        return materialize(spark, warehouse.read_table(spark, schemas.FACT, database), "result")
+
+
 @query(_fact_rows_sql(shapes.ARRIVALS_PER_ORDER_SQL))
 def existing_month_refused(spark, folder):
     """A month that is there is not written again in mode error."""
@@ -1000,6 +1092,90 @@ def unmatched_codes(spark, folder):
     return star.unmatched_codes(facts, shapes.star_tables(spark, folder))
 
 
+def _code_counts_sql(role: star.Role, name: str) -> str:
+    numeric = dict(schemas.FACT.columns)[role.fact_key] == schemas.NUMERIC
+    code = f"CAST(CAST({role.fact_key} AS BIGINT) AS VARCHAR)" if numeric else role.fact_key
+    return f"""
+    SELECT CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon,
+           '{name}' AS role, {code} AS code, count(*) AS n_rows
+    FROM raw WHERE {role.fact_key} IS NOT NULL GROUP BY 1, 2, 4
+    """
+
+
+@query(
+    f"WITH raw AS ({shapes.ARRIVALS_SQL})"
+    + " UNION ALL ".join(_code_counts_sql(r, n) for n, r in star.ROLES.items())
+)
+def codes_by_month(spark, folder):
+    """Counted while months are loaded, one of them twice; the facts are not read again."""
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        facts = clean_fact(shapes.arrivals(spark, folder))
+        months = _months(load(spark, folder, "orders").selectExpr(
+            "year(o_orderdate) AS i94yr", "month(o_orderdate) AS i94mon"))
+        year, month = min(months)
+        one = facts.filter((F.col("i94yr") == year) & (F.col("i94mon") == month))
+        outdated = one.withColumn("i94port", F.lit("OLD"))
+        warehouse.load_months(facts.unionByName(outdated), months, database)
+        warehouse.load_months(one, [(year, month)], database)
+        counts = warehouse.codes_by_month(spark, database).withColumns(
+            {c: F.col(c).cast("int") for c in ("i94yr", "i94mon")}
+        )
+        return materialize(spark, counts, "result")
+
+
+@query(f"""{STAR_JOIN_SQL}
+SELECT citizenship, visa_category, CAST(i94yr AS INTEGER) AS i94yr,
+       CAST(i94mon AS INTEGER) AS i94mon, count(*) AS arrivals
+FROM joined WHERE i94mon IN (6, 7, 8) GROUP BY 1, 2, 3, 4
+""")
+def arrivals_pruned(spark, folder):
+    """Arrivals of one season out of the stored fact table, which is read for it alone."""
+    with _database(spark) as database:
+        warehouse.create_tables(spark, [schemas.FACT], database)
+        orders = load(spark, folder, "orders")
+        months = _months(orders.selectExpr(
+            "year(o_orderdate) AS i94yr", "month(o_orderdate) AS i94mon"))
+        warehouse.load_months(clean_fact(shapes.arrivals(spark, folder)), months, database)
+        calendar = materialize(spark, star.calendar(months, spark), "calendar")
+        summer = calendar.where("season = 'summer'")
+        stored = warehouse.read_table(spark, schemas.FACT, database)
+        counts = star.arrivals_by(
+            star.in_months(stored, summer), shapes.star_tables(spark, folder),
+            ["citizenship", "visa"], ["i94yr", "i94mon"],
+        )
+        counts = counts.withColumns({c: F.col(c).cast("int") for c in ("i94yr", "i94mon")})
+        return materialize(spark, counts, "result")
+
+
+@query("""
+SELECT l_suppkey, l_shipdate, l_returnflag, count(*) AS n_rows
+FROM lineitem GROUP BY 1, 2, 3 HAVING count(*) > 1
+""")
+def pk_check_hashed(spark, folder):
+    """The key check in two passes, on a wide key that often repeats."""
+    lines = load(spark, folder, "lineitem")
+    return duplicate_keys_by_hash(lines, ["l_suppkey", "l_shipdate", "l_returnflag"])
+
+
+@query("""
+WITH gapped AS (SELECT CASE WHEN o_orderkey % 31 > 0 THEN o_custkey % 40 END AS o_custkey,
+                       o_orderdate, o_orderpriority FROM orders),
+     keys AS (SELECT o_custkey, count(*) AS n FROM gapped
+              GROUP BY o_custkey, o_orderdate, o_orderpriority)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
+       CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_duplicate_keys,
+       CAST(sum(CASE WHEN o_custkey IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_incomplete
+FROM keys
+""")
+def pk_report_hashed(spark, folder):
+    orders = load(spark, folder, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 31 > 0 THEN o_custkey % 40 END AS o_custkey",
+        "o_orderdate", "o_orderpriority",
+    )
+    return key_report_by_hash(orders, ["o_custkey", "o_orderdate", "o_orderpriority"])
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows
 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1

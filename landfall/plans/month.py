@@ -23,6 +23,7 @@ from landfall.operators.demography import (
 from landfall.operators.fact import clean_fact
 from landfall.operators.labels import BLOCKS, label_tables, parse_labels
 from landfall.operators.quality import key_report, load_report
+from landfall.operators.star import ROLES, codes_without_table
 from landfall.session import materialize, scratch_folder
 from landfall.sources.readers import (
     read_airports,
@@ -34,8 +35,10 @@ from landfall.sources.readers import (
 from landfall.sources.warehouse import (
     Replacement,
     append_new_rows,
+    codes_by_month,
     create_tables,
     fit_to_table,
+    read_table,
     recover,
 )
 from landfall.sources.writers import write_delimited, write_month
@@ -46,7 +49,8 @@ class Inputs:
     """Where the raw files are and how they are read.
 
     ``fact`` is a path with a ``{}`` for the tag. ``multiline`` is for delimited
-    files whose quoted fields contain line breaks.
+    files whose quoted fields contain line breaks, the month staged as text too.
+    ``fact_renames`` maps expected columns of the fact file to the file's names.
     """
 
     fact: str
@@ -55,6 +59,7 @@ class Inputs:
     labels: str
     fact_format: str = "parquet"
     fact_options: Mapping[str, str] = field(default_factory=dict)
+    fact_renames: Mapping[str, str] = field(default_factory=dict)
     airport_headers: Mapping[str, str] = field(default_factory=dict)
     multiline: bool = False
     legacy_na: bool = False
@@ -115,7 +120,7 @@ def clean_dimensions(
         return city, materialize(spark, demography_by_state(city, rules.glue), "state", folder)
 
     def labels() -> dict[str, DataFrame]:
-        entries = parse_labels(read_lines(spark, inputs.labels))
+        entries = parse_labels(read_lines(spark, inputs.labels), folder)
         return label_tables(materialize(spark, entries, "labels", folder))
 
     def airports() -> DataFrame:
@@ -172,6 +177,21 @@ def broken_keys(reports: Mapping[str, Mapping[str, int]], strict: bool) -> list[
     )
 
 
+def unmatched_in(spark: SparkSession, database: str, month: datetime.date) -> dict[str, int]:
+    """For each role, how many of a loaded month's codes its table lacks.
+
+    Read from the counts that are kept with the month, not from its facts.
+    """
+    counts = codes_by_month(spark, database).where(
+        (F.col("i94yr") == month.year) & (F.col("i94mon") == month.month)
+    )
+    names = {role.table for role in ROLES.values()}
+    tables = {n: read_table(spark, schemas.TABLES[n], database) for n in names}
+    lacking = codes_without_table(counts, tables).groupBy("role").count().collect()
+    found = {r["role"]: r["count"] for r in lacking}
+    return {f"n_unmatched_{role}": found.get(role, 0) for role in ROLES}
+
+
 def run_month(
     spark: SparkSession,
     month: datetime.date,
@@ -182,7 +202,8 @@ def run_month(
     strict_keys: bool = False,
     rules: Rules | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Run one month end to end; returns the key report of each table.
+    """Run one month end to end; returns the key report of each table, and for
+    the facts how many codes of each role have no entry in their table.
 
     The cleaned month is written under ``stage``, the dimensions to scratch, and
     values and keys are checked, before the warehouse changes. What an earlier
@@ -200,10 +221,12 @@ def run_month(
     tag = tag_of(month)
 
     def clean_month() -> DataFrame:
-        raw = scan_fact(spark, inputs.fact, tag, inputs.fact_format, inputs.fact_options)
+        raw = scan_fact(
+            spark, inputs.fact, tag, inputs.fact_format, inputs.fact_options, inputs.fact_renames
+        )
         clean = clean_fact(raw, rules.typed_dates)
         path = write_month(clean, stage, tag, rules.stage_format)
-        return read_month(spark, path, rules.stage_format)
+        return read_month(spark, path, rules.stage_format, inputs.multiline)
 
     with scratch_folder(spark, f"month-{tag}") as folder:
         facts, dimensions = together(
@@ -238,4 +261,5 @@ def run_month(
             replacement.undo()
             raise
         replacement.finish()
+        reports[schemas.FACT.name] |= unmatched_in(spark, database, month)
     return reports

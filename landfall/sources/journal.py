@@ -31,10 +31,11 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Month:
-    """Where a month's facts lie, and the partial files that went into them."""
+    """Where a month's facts lie, the partial files in them, and where its codes are counted."""
 
     folder: str
     batches: tuple[str, ...] = ()
+    codes: str = ""
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,8 @@ class Record:
     def from_json(cls, text: str) -> Record:
         raw = json.loads(text)
         months = {
-            (m["year"], m["month"]): Month(m["folder"], tuple(m["batches"])) for m in raw["months"]
+            (m["year"], m["month"]): Month(m["folder"], tuple(m["batches"]), m.get("codes", ""))
+            for m in raw["months"]
         }
         return cls(raw["generation"], raw["tables"], months)
 

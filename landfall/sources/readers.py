@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from landfall.schemas import (
     RAW_DEMOGRAPHY_SCHEMA,
     RAW_FACT_SCHEMA,
 )
-
+from landfall.sources.contract import read_conforming
 
 
 def month_path(template: str, tag: str) -> str:
@@ -32,14 +32,17 @@ def scan_fact(
     tag: str,
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
+    renames: Mapping[str, str] | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """The raw file of one month, in any format the session has a source for.
 
-    Formats that carry a schema supply it, so a missing column fails at
-    analysis, and column pruning and pushed filters reach the scan. Delimited
-    text needs a header and is read by ``read_delimited``, options ``sep`` and
-    ``multiLine``; only an empty field is a gap there, as codes may look like a
-    missing-value token.
+    Its columns come typed as ``RAW_FACT_SCHEMA`` has them, whichever way the
+    month's files have them and where these differ among themselves; what cannot
+    be taken so is a ``SchemaDrift``, see ``landfall.sources.contract``. Column
+    pruning and pushed filters reach the scan. Delimited text needs a header and
+    is read by ``read_delimited``, options ``sep`` and ``multiLine``; only an
+    empty field is a gap there, as codes may look like a missing-value token.
     """
     path, options = month_path(template, tag), dict(options or {})
     if format == "csv":
@@ -51,10 +54,10 @@ def scan_fact(
             na_tokens=("",),
             multiline=str(options.get("multiLine", "false")).lower() == "true",
         )
-    reader = spark.read.format(format).options(**options)
     if format == "json":
-        reader = reader.schema(RAW_FACT_SCHEMA)
-    return reader.load(path)
+        # A JSON row without a field is a gap, and so a missing column as well.
+        return spark.read.options(**options).schema(RAW_FACT_SCHEMA).json(path)
+    return read_conforming(spark, path, format, RAW_FACT_SCHEMA, options, renames, optional)
 
 
 def read_delimited(
@@ -100,10 +103,19 @@ def read_delimited(
 
 
 def read_headerless(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ","
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
-    """Delimited text without header, by position. No line is skipped."""
-    return spark.read.csv(path, schema=schema, sep=sep, escape='"', mode="FAILFAST")
+    """Delimited text without header, by position. No line is skipped.
+
+    Quoted line breaks need ``multiline``, at the price of one task per file.
+    """
+    return spark.read.csv(
+        path, schema=schema, sep=sep, escape='"', mode="FAILFAST", multiLine=multiline
+    )
 
 
 def fact_text_schema() -> T.StructType:
@@ -116,10 +128,12 @@ def fact_text_schema() -> T.StructType:
     )
 
 
-def read_month(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+def read_month(
+    spark: SparkSession, path: str, format: str = "parquet", multiline: bool = False
+) -> DataFrame:
     """A cleaned month as ``write_month`` leaves it, delimited text included."""
     if format == "csv":
-        return read_headerless(spark, path, fact_text_schema())
+        return read_headerless(spark, path, fact_text_schema(), multiline=multiline)
     return spark.read.format(format).load(path)
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.numbers import load_cast
+from landfall.operators.star import code_counts
 from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, TABLES, Table
-from landfall.session import delete_path, materialize, path_exists, scratch_folder
+from landfall.session import delete_path, materialize, path_exists, scratch_path
 from landfall.sources.journal import Conflict, Journal, Month, Record
 
 
@@ -232,15 +233,22 @@ class Replacement:
     ) -> None:
         """Complete contents of months, from a frame that has no row of any other.
 
-        A month without rows stays as it is.
+        A month without rows stays as it is. The codes in use are counted beside
+        the rows, for ``codes_by_month``.
         """
         fitted = _only_months(fit_to_table(df, FACT), months)
         folder = self._new_folder(MONTHS)
         _spread(fitted, months).write.partitionBy(*FACT.partitions).parquet(folder)
+        written = {}
         for month in months:
             place = f"{folder}/i94yr={month[0]}/i94mon={month[1]}"
             if path_exists(self.spark, place):
-                self.months[month] = Month(place, (batches or {}).get(month, ()))
+                written[month] = Month(place, (batches or {}).get(month, ()), f"{folder}/codes")
+        if written:
+            stored = self.spark.read.schema(fitted.schema).parquet(folder)
+            counts = code_counts(stored, also=FACT.partitions)
+            counts.withColumn("folder", F.lit(folder)).write.parquet(f"{folder}/codes")
+        self.months |= written
 
     def switch(self, base: Record | None = None) -> None:
         """Commit; on top of ``base`` alone if it is given, else of whatever is newest."""
@@ -376,6 +384,25 @@ def load_months(
     replacement.finish()
 
 
+def codes_by_month(spark: SparkSession, database: str) -> DataFrame:
+    """Codes in use in each month: ``i94yr, i94mon, role, code, n_rows``.
+
+    Counted when a month is loaded, so no facts are read, however many months.
+    """
+    months = settle(spark, database).months
+    valid = [(m.codes.rsplit("/", 1)[0], *month) for month, m in months.items() if m.codes]
+    schema = "folder string, i94yr int, i94mon int"
+    current = spark.createDataFrame(valid, schema).select(
+        "folder", *[F.col(c).cast(NUMERIC).alias(c) for c in FACT.partitions]
+    )
+    wanted = ["i94yr", "i94mon", "role", "code", "n_rows"]
+    if not valid:
+        empty = "i94yr decimal(18,0), i94mon decimal(18,0), role string, code string, n_rows long"
+        return spark.createDataFrame([], empty)
+    stored = spark.read.parquet(*sorted({f"{folder}/codes" for folder, *_ in valid}))
+    return stored.join(F.broadcast(current), ["folder", *FACT.partitions]).select(*wanted)
+
+
 def batch_token(df: DataFrame) -> str:
     """Names a partial file by its rows, in whatever order: their count and hashes."""
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
@@ -384,64 +411,86 @@ def batch_token(df: DataFrame) -> str:
     return "/".join(str(x or 0) for x in df.agg(F.count(F.lit(1)), *sums).first())
 
 
+class PartialMerge:
+    """Adds the rows of a partial file whose key the fact table lacks.
+
+    A month is merged by copy: ``stage`` writes its stored rows and the new ones
+    to a folder of their own, and ``commit`` switches the partition to it, if the
+    table is still what it was then. A month remembers the files that went into
+    it, by their ``batch``, until it is loaded as a whole.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        months: Sequence[tuple[int, int]],
+        database: str,
+        batch: str | None = None,
+    ):
+        self.spark, self.months, self.database = df.sparkSession, months, database
+        fitted = _only_months(fit_to_table(df, FACT), months)
+        self.scratch = scratch_path(self.spark, "partial")
+        self.given = materialize(self.spark, fitted, "given", self.scratch)
+        self.batch = batch or batch_token(self.given)
+        self.base: Record | None = None
+        self.replacement: Replacement | None = None
+
+    def stage(self) -> bool:
+        """Write the merged months; false if the file has been merged before."""
+        self.base = settle(self.spark, self.database)
+        known = self.base.months
+        if any(self.batch in known[m].batches for m in self.months if m in known):
+            return False
+        present = {(int(r[0]), int(r[1])) for r in self.given.select(*FACT.partitions).distinct().collect()}
+        touched = [m for m in self.months if m in present]
+        self.replacement = Replacement(self.spark, self.database)
+        if touched:
+            name = qualified(FACT, self.database)
+            stored = self.spark.table(name).filter(_in_months(touched)).select(*FACT.storage_order)
+            keys = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
+            same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
+            new = self.given.join(keys, same, "left_anti").select(*FACT.storage_order)
+            before = {m: known[m].batches if m in known else () for m in touched}
+            batches = {m: (*b, self.batch) for m, b in before.items()}
+            try:
+                self.replacement.stage_months(stored.unionByName(new), touched, batches)
+            except BaseException:
+                self.replacement.undo()
+                raise
+        return True
+
+    def commit(self) -> bool | None:
+        """Switch to the merged months; None if another writer came first."""
+        try:
+            self.replacement.switch(self.base)
+        except Conflict:
+            return None
+        self.replacement.finish()
+        return True
+
+    def run(self) -> bool:
+        """Stage and commit until one of them settles it; whether it was merged."""
+        try:
+            while self.stage():
+                if self.commit():
+                    return True
+            return False
+        finally:
+            delete_path(self.spark, self.scratch)
+
+
 def append_new_rows(
     df: DataFrame, months: Sequence[tuple[int, int]], database: str, batch: str | None = None
 ) -> bool:
     """Add the rows of a partial file whose key the fact table lacks.
 
-    A month is merged by copy: its stored rows and the new ones are written to a
-    folder of their own, to which its partition is switched. ``batch`` names the
-    file, by default after its rows. A month remembers the files that went into
-    it until it is loaded as a whole, so a file that comes again, after a lost
-    answer or from a second writer at the same time, is refused: the result tells
-    whether it was merged. Of two writers with different files the later one
-    merges again, on top of the first one's rows.
+    ``batch`` names the file, by default after its rows. A file that comes again,
+    after a lost answer or from a second writer at the same time, is refused: the
+    result tells whether it was merged. Of two writers with different files the
+    later one merges again, on top of the first one's rows.
 
     Only the announced months are read. A missing part of a key equals a missing
     one. Rows that repeat a new key within the file are all added; the key check
     tells.
     """
-    spark = df.sparkSession
-    fitted = _only_months(fit_to_table(df, FACT), months)
-    with scratch_folder(spark, "partial") as folder:
-        given = materialize(spark, fitted, "given", folder)
-        batch = batch or batch_token(given)
-        while True:
-            base = settle(spark, database)
-            merged = [m for m in months if batch in base.months.get(m, Month("")).batches]
-            if merged:
-                return False
-            replacement = Replacement(spark, database)
-            try:
-                _stage_merge(replacement, given, months, base, batch)
-                replacement.switch(base)
-            except Conflict:
-                replacement.undo()
-                continue
-            except BaseException:
-                replacement.undo()
-                raise
-            replacement.finish()
-            return True
-
-
-def _stage_merge(
-    replacement: Replacement,
-    given: DataFrame,
-    months: Sequence[tuple[int, int]],
-    base: Record,
-    batch: str,
-) -> None:
-    """Stage the months of which ``given`` has rows: the stored ones and the new."""
-    spark, database = replacement.spark, replacement.database
-    present = given.select("i94yr", "i94mon").distinct().collect()
-    touched = [m for m in months if m in {(int(r[0]), int(r[1])) for r in present}]
-    if not touched:
-        return
-    name = qualified(FACT, database)
-    stored = spark.table(name).filter(_in_months(touched)).select(*FACT.storage_order)
-    keys = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
-    same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
-    new = given.join(keys, same, "left_anti").select(*FACT.storage_order)
-    batches = {m: (*base.months.get(m, Month("")).batches, batch) for m in touched}
-    replacement.stage_months(stored.unionByName(new), touched, batches)
+    return PartialMerge(df, months, database, batch).run()

@@ -1,5 +1,6 @@
 """What the plans must and must not contain."""
 
+import gzip
 import re
 from pathlib import Path
 
@@ -9,11 +10,19 @@ from landfall import schemas
 from landfall.operators.demography import demography_by_city
 from landfall.operators.fact import clean_fact
 from landfall.operators.labels import parse_labels
-from landfall.operators.quality import duplicate_keys
+from landfall.operators import star
+from landfall.operators.quality import (
+    duplicate_keys,
+    duplicate_keys_by_hash,
+    key_report,
+    key_report_by_hash,
+)
 from landfall.operators.star import arrivals_by, unmatched_codes
 from landfall.plans import shapes
+from landfall.session import materialize
 from landfall.sources import warehouse
 from landfall.sources.readers import read_lines, scan_fact
+from tests.test_warehouse import fact_rows
 
 FOLDER = "/root/testdata/sf0.001"
 NEEDS_TABLES = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no given tables")
@@ -102,3 +111,55 @@ def test_label_windows_are_bounded_by_split(spark, tmp_path):
     partitions = [re.findall(r"\], \[([^\]]*)\], \[", w)[-1] for w in windows]
     assert sorted(len(p.split(",")) for p in partitions) == [1, 2]
     assert "SinglePartition" not in plan
+
+
+@NEEDS_TABLES
+def test_key_check_by_hash_shuffles_numbers_only(spark):
+    """Of the first pass nothing but hashes and counts moves; the second reads few rows."""
+    lines = shapes.load(spark, FOLDER, "lineitem")
+    key = ["l_orderkey", "l_linenumber", "l_shipdate"]
+    found = duplicate_keys_by_hash(lines, key)
+    assert "LeftSemi" in physical(found)
+    assert any("key-hashes" in f for f in found.inputFiles())
+    for one, other in ((duplicate_keys_by_hash, duplicate_keys), (key_report_by_hash, key_report)):
+        for some in (key, ["l_suppkey", "l_returnflag"]):
+            assert sorted(map(str, one(lines, some).collect())) == sorted(map(str, other(lines, some).collect()))
+
+
+def test_missing_parts_of_keys_by_hash(spark):
+    rows = spark.createDataFrame([(None, "a"), (None, "a"), ("a", None), (None, None), ("b", "c")], "k string, l string")
+    assert [tuple(r) for r in duplicate_keys_by_hash(rows, ["k", "l"]).collect()] == [(None, "a", 2)]
+    assert key_report_by_hash(rows, ["k", "l"]).first() == key_report(rows, ["k", "l"]).first()
+    assert key_report_by_hash(rows.limit(0), ["k"]).first() == key_report(rows.limit(0), ["k"]).first()
+
+
+def test_label_text_is_read_once_and_may_be_compressed(spark, tmp_path):
+    text = "/* A - a */\n1 = 'x'\n/* B - b */\n2 = 'y'\n"
+    (tmp_path / "plain.txt").write_text(text)
+    with gzip.open(tmp_path / "packed.txt.gz", "wt") as file:
+        file.write(text)
+    entries = parse_labels(read_lines(spark, str(tmp_path)))
+    plan = physical(entries)
+    assert "FileScan text" not in plan
+    assert all("marked-lines" in f for f in entries.inputFiles())
+    found = sorted((r.file.rsplit("/", 1)[1], r.block_key, r.code, r.value) for r in entries.collect())
+    rows = [("A", "1", "X"), ("B", "2", "Y")]
+    assert found == [(f, *r) for f in ("packed.txt.gz", "plain.txt") for r in rows]
+
+
+def test_a_filtered_calendar_prunes_the_stored_months(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE seasons LOCATION '{tmp_path}'")
+    try:
+        warehouse.create_tables(spark, [schemas.FACT], "seasons")
+        months = {(2019, m): 2 for m in range(1, 13)}
+        warehouse.load_months(fact_rows(spark, months), list(months), "seasons")
+        calendar = materialize(spark, star.calendar(list(months), spark), "calendar")
+        facts = warehouse.read_table(spark, schemas.FACT, "seasons")
+        chosen = star.in_months(facts, calendar.where("season = 'summer'")).select("cicid", "i94mon")
+        plan = physical(chosen)
+        assert re.search(r"PartitionFilters: \[.*dynamicpruning", plan)
+        assert {int(r.i94mon) for r in chosen.collect()} == {6, 7, 8}
+        counts = warehouse.codes_by_month(spark, "seasons")
+        assert f"{schemas.FACT.name}" not in physical(counts).replace(".months", "")
+    finally:
+        spark.sql("DROP DATABASE seasons CASCADE")
