@@ -5,13 +5,19 @@ others, share all words of the corpus and one smoothing. Background counts are
 scaled to the target's number of words, so that the models are matched in size
 and neither is surer of itself for having seen more.
 
-The models are Spark tables of word pairs and grow with the corpus. Words are
-64-bit hashes in them. Only the losses of pairs that are a fixed share of all
-are sent to the tasks, as a shorter way; all others are joined.
+The models are counts of all words and of all pairs of words, and grow with the
+corpus. A chunk of documents is stored as its distinct words and, word by word,
+their numbers. It sends each word and each pair once, with its counts, in packed
+pieces by ranges of hashes; where a range's pieces meet the counts are added up,
+and each piece is answered in its own order. So a chunk gets back just the counts
+that its documents need. Pairs that begin with a very frequent word are dealt out
+over all ranges, and their sums over the word's followers put together after.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,17 +26,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.common import word_chunks
+from landfall.llm.packed import groups, pack, part_of, planes, short, unpack, values
 from landfall.operators.joins import sized_broadcast
 from landfall.session import materialize
 
 DISCOUNT = 0.75
-# Pairs at least so often, as a share of all, have their losses sent to every
-# task. There can be no more of them than one over it; the rest is joined.
-HOT_SHARE = 2.0**-18
-# Word pairs that a task holds before it gives them out.
-HELD_PAIRS = 2_000_000
-# Codes of a word that a given vocabulary lacks, and of a text's start.
+# Bits of a word's hash, and the codes of a word that a given vocabulary lacks and
+# of a text's start.
+WORD_BITS = 48
 UNKNOWN, START = 0, 1
+# Words at least so often, as a share of all, have their pairs dealt out. There
+# can be no more of them than one over it.
+HOT_SHARE = 2.0**-10
+# Bytes of text for each range of hashes.
+PART_BYTES = 24 << 20
+
+CHUNKS = "doc_ids array<long>, target array<boolean>, counts array<int>, words binary, tokens binary"
+PIECES = "part long, chunk long, piece binary"
 
 
 def vocabulary(docs: DataFrame, size: int) -> list[str]:
@@ -48,113 +60,215 @@ def vocabulary(docs: DataFrame, size: int) -> list[str]:
     return [row["word"] for row in top.collect()]
 
 
-# ---------------------------------------------------------------- pairs
+# ---------------------------------------------------------------- chunks
+
+
+def chunks_of(docs: DataFrame, known: pa.Array | None) -> DataFrame:
+    """The documents as a stored table of chunks, numbered.
+
+    ``words`` are the codes of a chunk's distinct words in order, that of a
+    text's start among them, ``tokens`` the place there of each word in turn.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, words, counts in word_chunks(batches):
+            coded = words.dictionary_encode()
+            codes = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object), categorize=False)
+            codes = np.maximum(short(codes, WORD_BITS), np.uint64(START + 1))
+            if known is not None:
+                some = pc.is_in(coded.dictionary, value_set=known).to_numpy(zero_copy_only=False)
+                codes = np.where(some, codes, np.uint64(UNKNOWN))
+            distinct = np.unique(np.append(codes, np.uint64(START)))
+            tokens = np.searchsorted(distinct, codes)[coded.indices.to_numpy()]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_ids": pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
+                    "target": pa.array([rows["target"].to_pylist()], pa.list_(pa.bool_())),
+                    "counts": pa.array([counts], pa.list_(pa.int32())),
+                    "words": pa.array([pack(distinct)], pa.binary()),
+                    "tokens": pa.array([len(tokens).to_bytes(4, "little") + planes(tokens)], pa.binary()),
+                }
+            )
+
+    stored = docs.select("doc_id", "text", "target").mapInArrow(run, CHUNKS)
+    return materialize(docs.sparkSession, stored.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+
+
+class Chunk:
+    """A chunk's words, and its pairs in the order of their pieces."""
+
+    def __init__(self, row: dict):
+        self.doc_ids, self.counts = row["doc_ids"], np.array(row["counts"], np.int64)
+        (self.words,) = unpack(row["words"])
+        raw = row["tokens"]
+        self.tokens = values(raw, 4, int.from_bytes(raw[:4], "little"))[0].astype(np.int64)
+        self.owner = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.target = np.array(row["target"], bool)[self.owner]
+        before = np.roll(self.tokens, 1)
+        first = np.flatnonzero(np.diff(self.owner, prepend=-1))
+        before[first] = np.searchsorted(self.words, np.uint64(START))
+        self.before = before
+
+    def word_counts(self, of: np.ndarray) -> list[np.ndarray]:
+        """How often each word stands in the target's and in the other documents."""
+        return [np.bincount(of[side], minlength=len(self.words)) for side in (self.target, ~self.target)]
 
+    def pairs(self, hot: np.ndarray, parts: int):
+        """(part, first, second, target, background) of distinct pairs, and the pair of each word."""
+        key = self.before * len(self.words) + self.tokens
+        pairs, of = np.unique(key, return_inverse=True)
+        first, second = pairs // len(self.words), pairs % len(self.words)
+        u, v = self.words[first], self.words[second]
+        part = part_of(u, parts, WORD_BITS)
+        dealt = np.isin(u, hot)
+        mixed = (u ^ (v * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)
+        part[dealt] = parts + (mixed[dealt] % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        counts = [np.bincount(of[side], minlength=len(pairs))[order] for side in (self.target, ~self.target)]
+        return part[order], first[order], second[order], *counts, place[of]
 
-def pair_codes(words: pa.Array, counts: np.ndarray, known: pa.Array | None):
-    """(previous, word, text) of every word, words as codes."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    if not len(words):
-        return np.empty(0, np.int64), np.empty(0, np.int64), owner
-    coded = words.dictionary_encode()
-    codes = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object), categorize=False).view(np.int64)
-    if known is not None:
-        codes = np.where(pc.is_in(coded.dictionary, value_set=known).to_numpy(zero_copy_only=False), codes, UNKNOWN)
-    code = codes[coded.indices.to_numpy()]
-    before = np.roll(code, 1)
-    before[np.flatnonzero(np.diff(owner, prepend=-1))] = START
-    return before, code, owner
 
+def _cut(part: np.ndarray) -> Iterator[tuple[int, slice]]:
+    bounds = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(bounds, np.append(bounds[1:], len(part))):
+        yield int(part[a]), slice(a, b)
 
-def pair_key(before: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """One hash of both words, as ``PAIR_KEY`` has it."""
-    turned = code.view(np.uint64)
-    return before ^ ((turned << np.uint64(1)) | (turned >> np.uint64(63))).view(np.int64)
 
+def _pieces(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*found)) or [(), (), ()]
+    kinds = (("part", pa.int64()), ("chunk", pa.int64()), ("piece", pa.binary()))
+    return pa.RecordBatch.from_pydict({n: pa.array(c, k) for (n, k), c in zip(kinds, columns)})
 
-PAIR_KEY = "u ^ (shiftleft(v, 1) | shiftrightunsigned(v, 63))"
 
+def _merged(pieces: list[pa.RecordBatch], more: int):
+    """All numbers of a part's pieces, with the chunk and the size of each piece."""
+    chunks = [c for p in pieces for c in p["chunk"].to_pylist()]
+    lists = [unpack(raw, more) for p in pieces for raw in p["piece"].to_pylist()]
+    return chunks, [len(x[0]) for x in lists], [np.concatenate(x) for x in zip(*lists)]
 
-def summed(u: np.ndarray, v: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each pair once, with the sums of its two counts."""
-    order = np.lexsort((v, u))
-    u, v, sides = u[order], v[order], sides[:, order]
-    new = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])]))
-    return u[new], v[new], np.add.reduceat(sides, new, axis=1)
 
+# ---------------------------------------------------------------- words
 
-def pair_counts(docs: DataFrame, known: pa.Array | None) -> DataFrame:
-    """(u, v, target, background): how often word pairs occur in either part.
 
-    Each task adds its documents up before it gives a pair out.
+def word_sums(chunks: DataFrame, parts: int) -> DataFrame:
+    """Answers to each chunk: its words' counts in the corpus, as last words and as first.
+
+    Beside the answers, with chunk -1, the number of words of each part, and with
+    chunk -2 the words as first words of pairs that may be hot, with their counts.
     """
 
-    def merged(parts):
-        return summed(*(np.concatenate(x, axis=-1) for x in zip(*parts)))
+    def send(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                chunk = Chunk(row)
+                part = part_of(chunk.words, parts, WORD_BITS)
+                columns = [*chunk.word_counts(chunk.tokens), *chunk.word_counts(chunk.before)]
+                for n, some in _cut(part):
+                    out.append((n, row["chunk"], pack(chunk.words[some], *[c[some] for c in columns])))
+            yield _pieces(out)
+
+    def add_up(batches):
+        for (part,), pieces in groups(batches, ("part",)):
+            owners, sizes, (codes, *columns) = _merged(pieces, 4)
+            distinct, of = np.unique(codes, return_inverse=True)
+            sums = [np.bincount(of, c.astype(float), len(distinct)).astype(np.int64) for c in columns]
+            out, at = [], 0
+            for owner, size in zip(owners, sizes):
+                some = of[at : at + size]
+                out.append((part, owner, b"".join(planes(s[some]) for s in sums)))
+                at += size
+            words = int(np.count_nonzero((distinct > START) & (sums[0] + sums[1] > 0)))
+            out.append((part, -1, words.to_bytes(8, "little")))
+            heads = sums[2] + sums[3]
+            top = np.sort(np.argsort(-heads, kind="stable")[: int(2 / HOT_SHARE)])
+            out.append((part, -2, pack(distinct[top], heads[top])))
+            yield _pieces(out)
+
+    sent = chunks.mapInArrow(send, PIECES).repartition("part").sortWithinPartitions("part")
+    return materialize(chunks.sparkSession, sent.mapInArrow(add_up, PIECES), "word-sums")
+
+
+def hot_words(sums: DataFrame, total: int) -> np.ndarray:
+    """Codes of words that begin at least ``HOT_SHARE`` of all pairs."""
+    least = max(2.0, HOT_SHARE * total)
+
+    def run(batches):
+        for batch in batches:
+            for raw in batch["piece"].to_pylist():
+                codes, heads = unpack(raw, 1)
+                yield pa.RecordBatch.from_pydict({"code": codes[heads >= least].astype(np.int64)})
+
+    found = sums.where("chunk = -2").select("piece").mapInArrow(run, "code long").toArrow()
+    return np.sort(found["code"].to_numpy().astype(np.uint64))
 
-    def batch(u, v, sides):
-        return pa.RecordBatch.from_pydict({"u": u, "v": v, "target": sides[0], "background": sides[1]})
 
-    def count(batches):
-        held = []
-        for rows, flat, counts in word_chunks(batches):
-            if not len(flat):
-                continue
-            u, v, owner = pair_codes(flat, counts, known)
-            target = rows["target"].to_numpy()[owner]
-            held.append(summed(u, v, np.stack([target, ~target]).astype(np.int64)))
-            if sum(len(h[0]) for h in held) >= HELD_PAIRS:
-                held = [merged(held)]
-                if len(held[0][0]) >= HELD_PAIRS // 2:
-                    yield batch(*held.pop())
-        if held:
-            yield batch(*merged(held))
-
-    rows = docs.select("text", "target").mapInArrow(count, "u long, v long, target long, background long")
-    return rows.groupBy("u", "v").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-# ---------------------------------------------------------------- models
-
-
-def models(docs: DataFrame, known: pa.Array | None) -> tuple[DataFrame, int]:
-    """(p, n, target, background): losses of each pair that occurs, and all pairs' number.
-
-    Absolute discounting: what is taken off the counts of pairs that occurred
-    goes to the words in general, estimated with one count more each, and one
-    for a word that is not known. A word that never goes before another in a
-    model, and a model without documents, leave the words in general.
+# ---------------------------------------------------------------- pairs
+
+
+def pair_sums(chunks: DataFrame, parts: int, hot: np.ndarray, ratio: float) -> DataFrame:
+    """Answers to each chunk: its pairs' counts, and by first word what discounting takes.
+
+    Beside the answers, with chunk -1, the sums of a hot word's pairs of a part.
     """
-    spark = docs.sparkSession
-    pairs = materialize(spark, pair_counts(docs, known), "pairs")
-    sides = ("target", "background")
-    all_of = {s: n or 0 for s, n in zip(sides, pairs.agg(*(F.sum(s) for s in sides)).first())}
-    ratio = dict.fromkeys(sides, 1.0)
-    if all(all_of.values()):
-        ratio["background"] = all_of["target"] / all_of["background"]
-    counts = {s: F.col(s) * F.lit(ratio[s]) for s in sides}
-    after = pairs.groupBy("u").agg(
-        *(F.sum(counts[s]).alias(f"{s}_all") for s in sides),
-        *(F.sum(F.least(counts[s], F.lit(DISCOUNT))).alias(f"{s}_taken") for s in sides),
-    )
-    after = materialize(spark, after, "after")
-    single = materialize(
-        spark, pairs.groupBy("v").agg(*(F.sum(counts[s]).alias(f"{s}_single") for s in sides)), "single"
-    )
-    n_words = single.where(F.col("v") != UNKNOWN).count() + 1
-    joined = pairs.join(sized_broadcast(after), "u").join(sized_broadcast(single), "v")
-
-    def loss(side: str):
-        general = (F.col(f"{side}_single") + 1) / (all_of[side] * ratio[side] + n_words)
-        total = F.col(f"{side}_all")
-        kept = F.greatest(counts[side] - DISCOUNT, F.lit(0.0)) + F.col(f"{side}_taken") * general
-        p = F.when(total > 0, kept / F.greatest(total, F.lit(1e-300))).otherwise(general)
-        return (-F.log(F.greatest(p, F.lit(1e-300)))).alias(side)
-
-    found = joined.select(
-        F.expr(PAIR_KEY).alias("p"), (F.col("target") + F.col("background")).alias("n"), *(loss(s) for s in sides)
-    )
-    return materialize(spark, found, "losses"), sum(all_of.values())
+    shared = chunks.sparkSession.sparkContext.broadcast(hot)
+
+    def send(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                chunk = Chunk(row)
+                part, first, second, target, background, _ = chunk.pairs(shared.value, parts)
+                for n, some in _cut(part):
+                    u, v = chunk.words[first[some]], chunk.words[second[some]]
+                    out.append((n, row["chunk"], pack(u, v, target[some], background[some])))
+            yield _pieces(out)
+
+    def add_up(batches):
+        for (part,), pieces in groups(batches, ("part",)):
+            owners, sizes, (u, v, *columns) = _merged(pieces, 3)
+            order = np.lexsort((v, u))
+            new = np.ones(len(u), bool)
+            new[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
+            of = np.empty(len(u), np.int64)
+            of[order] = np.cumsum(new) - 1
+            sums = [np.bincount(of, c.astype(float), int(new.sum())) for c in columns]
+            heads, by = np.unique(u[order][new], return_inverse=True)
+            taken = [
+                np.bincount(by, np.minimum(s * r, DISCOUNT), len(heads)) for s, r in zip(sums, (1.0, ratio))
+            ]
+            if part >= parts:
+                hot_sums = pack(heads) + b"".join(t.astype("<f8").tobytes() for t in taken)
+                yield _pieces([(part, -1, hot_sums)])
+            out, at = [], 0
+            for owner, size in zip(owners, sizes):
+                some = of[at : at + size]
+                answer = b"".join(planes(s[some].astype(np.int64)) for s in sums)
+                if part < parts:
+                    own = np.searchsorted(heads, np.unique(u[at : at + size]))
+                    answer += b"".join(t[own].astype("<f4").tobytes() for t in taken)
+                out.append((part, owner, answer))
+                at += size
+            yield _pieces(out)
+
+    sent = chunks.mapInArrow(send, PIECES).repartition("part").sortWithinPartitions("part")
+    return materialize(chunks.sparkSession, sent.mapInArrow(add_up, PIECES), "pair-sums")
+
+
+def hot_takings(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """What discounting takes from the pairs of each hot word, in either model."""
+    found: dict[int, np.ndarray] = {}
+    for row in sums.where("chunk = -1").select("piece").toLocalIterator():
+        raw = bytes(row["piece"])
+        n = int.from_bytes(raw[:4], "little")
+        (heads,) = unpack(raw)
+        taken = np.frombuffer(raw[len(raw) - 16 * n :], "<f8").reshape(2, n)
+        for k, head in enumerate(heads.tolist()):
+            found[head] = found.get(head, np.zeros(2)) + taken[:, k]
+    heads = np.array(sorted(found), np.uint64)
+    return heads, np.array([found[int(h)] for h in heads]).reshape(-1, 2).T
 
 
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -173,70 +287,104 @@ def score(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFr
     """Every document's losses for each word, and their difference.
 
     Returns ``doc_id, n_words, ce_target, ce_background, ce_difference`` in
-    nats; a low difference speaks for the target. NULL texts and texts without
-    words have no losses. Without good documents, or without others, the model
-    that lacks them is uniform. Repeated rows repeat. With ``size``, words
+    nats; a low difference speaks for the target. Absolute discounting: what is
+    taken off the counts of pairs that occurred goes to the words in general,
+    estimated with one count more each, and one for a word that is not known. A
+    word that never goes before another in a model, and a model without
+    documents, leave the words in general.
+
+    NULL texts and texts without words have no losses. Without good documents, or
+    without others, the model that lacks them is uniform. Repeated rows repeat;
+    columns other than ``doc_id`` and ``text`` are left out. With ``size``, words
     beyond the so many most frequent ones count as one; else all are told apart.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     known = None if size is None else pa.array(vocabulary(docs, size), pa.large_string())
-    losses, n_pairs = models(with_target(docs, labels), known)
-    hot = F.col("n") >= max(2.0, n_pairs * HOT_SHARE)
-    often = losses.where(hot).select("p", "target", "background").toArrow().sort_by("p")
-    shared = spark.sparkContext.broadcast([often[c].to_numpy() for c in ("p", "target", "background")])
-
-    def split(flat, counts):
-        """Key and text of each word's pair, its place among the frequent ones, and whether it is one."""
-        u, v, owner = pair_codes(flat, counts, known)
-        p, keys = pair_key(u, v), shared.value[0]
-        if not len(keys):
-            return p, owner, np.zeros(len(p), np.int64), np.zeros(len(p), bool)
-        at = np.minimum(np.searchsorted(keys, p), len(keys) - 1)
-        return p, owner, at, keys[at] == p
-
-    def whole(batches):
-        for rows, flat, counts in word_chunks(batches):
-            _, owner, at, found = split(flat, counts)
-            sums = [np.bincount(owner[found], x[at[found]], len(counts)).astype(float) for x in shared.value[1:]]
+    volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + volume // PART_BYTES
+    chunks = chunks_of(with_target(docs, labels), known)
+    sized = F.arrays_zip("counts", "target")
+    sums = [
+        F.aggregate(F.filter(sized, own), F.lit(0).cast("long"), lambda n, x: n + x["counts"])
+        for own in (lambda x: x["target"], lambda x: ~x["target"])
+    ]
+    totals = [n or 0 for n in chunks.agg(*[F.sum(x) for x in sums]).first()]
+    ratio = totals[0] / totals[1] if all(totals) else 1.0
+
+    words = word_sums(chunks, parts)
+    hot = hot_words(words, sum(totals))
+    pairs = pair_sums(chunks, parts, hot, ratio)
+    counted = words.where("chunk = -1").select("piece").toLocalIterator()
+    n_words = 1 + sum(int.from_bytes(bytes(r["piece"]), "little") for r in counted)
+    shared = spark.sparkContext.broadcast((hot, *hot_takings(pairs)))
+    rates = (1.0, ratio)
+
+    def losses(chunk: Chunk, word_answers: list[bytes], pair_answers: list[bytes]) -> list[np.ndarray]:
+        """Of each word, by either model."""
+        hot, heads, hot_taken = shared.value
+        sizes = [b.stop - b.start for _, b in _cut(part_of(chunk.words, parts, WORD_BITS))]
+        answers = [_answer(raw, n, 4) for raw, n in zip(word_answers, sizes)]
+        single, head = np.split(np.concatenate([a for a, _ in answers], axis=1), 2)
+        part, first, second, *_, of = chunk.pairs(hot, parts)
+        sums, taken = [], np.zeros((2, len(chunk.words)))
+        for raw, (n, some) in zip(pair_answers, _cut(part)):
+            found, at = _answer(raw, some.stop - some.start, 2)
+            sums.append(found)
+            if n < parts:
+                own = np.unique(first[some])
+                taken[:, own] = np.frombuffer(raw[at:], "<f4").reshape(2, len(own))
+        where = np.searchsorted(chunk.words, heads)
+        mine = (where < len(chunk.words)) & (chunk.words[np.minimum(where, len(chunk.words) - 1)] == heads)
+        taken[:, where[mine]] = hot_taken[:, mine]
+        counts = np.concatenate(sums, axis=1) if sums else np.zeros((2, 0))
+        out = []
+        for k, rate in enumerate(rates):
+            general = (single[k][second] * rate + 1) / (totals[k] * rate + n_words)
+            total = head[k][first] * rate
+            kept = np.maximum(counts[k] * rate - DISCOUNT, 0.0) + taken[k][first] * general
+            p = np.where(total > 0, kept / np.maximum(total, 1e-300), general)
+            out.append(-np.log(np.maximum(p, 1e-300))[of])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, pieces in groups(batches, ("chunk",)):
+            rows = [r for p in pieces for r in p.to_pylist()]
+            chunk = Chunk(rows[0])
+            answers = [[r["piece"] for r in rows[1:] if r["kind"] == kind] for kind in (1, 2)]
+            n = chunk.counts
+            found = losses(chunk, *answers) if len(chunk.tokens) else [np.empty(0)] * 2
+            means = [np.bincount(chunk.owner, x, len(n)) / np.maximum(n, 1) for x in found]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "row": rows["row"].combine_chunks(),
-                    "doc_id": rows["doc_id"].combine_chunks(),
-                    "n_words": pa.array(counts),
-                    "rest": pa.array(np.bincount(owner[~found], minlength=len(counts))),
-                    "target": pa.array(sums[0]),
-                    "background": pa.array(sums[1]),
+                    "doc_id": pa.array(chunk.doc_ids, pa.int64()),
+                    "n_words": pa.array(n),
+                    **{c: pa.array(x, mask=n == 0) for c, x in zip(("ce_target", "ce_background"), means)},
                 }
             )
 
-    def others(batches):
-        for rows, flat, counts in word_chunks(batches):
-            p, owner, _, found = split(flat, counts)
-            if found.all():
-                continue
-            p, owner, n = summed(p[~found], owner[~found], np.ones((1, int((~found).sum())), np.int64))
-            yield pa.RecordBatch.from_pydict(
-                {"row": rows["row"].to_numpy()[owner], "p": p, "times": n[0].astype(np.int32)}
-            )
-
-    # Rows that are alike have one key, and the sums of all of them.
-    rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    cold = rows.select("row", "text").mapInArrow(others, "row long, p long, times int")
-    cold = cold.join(losses.where(~hot).select("p", "target", "background"), "p")
-    cold = cold.groupBy("row").agg(
-        F.sum("times").alias("times"),
-        *(F.sum(F.col(s) * F.col("times")).alias(f"{s}_rest") for s in ("target", "background")),
-    )
-    warm = rows.select("row", "doc_id", "text").mapInArrow(
-        whole, "row long, doc_id long, n_words long, rest long, target double, background double"
+    def answers_of(sums: DataFrame, kind: int) -> DataFrame:
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in chunks.schema if f.name != "chunk"]
+        own = sums.where("chunk >= 0").select("chunk", "part", F.lit(kind).alias("kind"), "piece")
+        return own.select("*", *blank)
+
+    own = chunks.select(
+        "chunk",
+        F.lit(0).cast("long").alias("part"),
+        F.lit(0).alias("kind"),
+        F.lit(None).cast("binary").alias("piece"),
+        *[c for c in chunks.columns if c != "chunk"],
     )
+    met = own.unionByName(answers_of(words, 1)).unionByName(answers_of(pairs, 2))
+    met = met.repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
+    found = met.mapInArrow(run, "doc_id long, n_words long, ce_target double, ce_background double")
+    return found.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
 
-    def mean(side: str):
-        rest = F.when(F.col("rest") > 0, F.col("rest") * F.col(f"{side}_rest") / F.col("times")).otherwise(0.0)
-        return F.when(F.col("n_words") > 0, (F.col(side) + rest) / F.col("n_words"))
 
-    found = warm.join(cold, "row", "left").select(
-        "doc_id", "n_words", mean("target").alias("ce_target"), mean("background").alias("ce_background")
-    )
-    return found.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
+def _answer(raw: bytes, n: int, columns: int) -> tuple[np.ndarray, int]:
+    """Columns of n numbers each, and where what follows begins."""
+    out, at = [], 0
+    for _ in range(columns):
+        found, at = values(raw, at, n)
+        out.append(found.astype(np.float64))
+    return np.array(out), at

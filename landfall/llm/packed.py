@@ -16,25 +16,26 @@ import pyarrow as pa
 HASH_BITS = 40
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(numbers: np.ndarray) -> bytes:
     """The least number of bytes that holds each value, then the bytes by place."""
-    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    raw = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8)
     return bytes([width]) + raw[:, :width].T.tobytes()
 
 
-def _values(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+def values(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    """What ``planes`` was given, n numbers, and where they end."""
     width = raw[at]
-    planes = np.frombuffer(raw, np.uint8, width * n, at + 1).reshape(width, n)
+    found = np.frombuffer(raw, np.uint8, width * n, at + 1).reshape(width, n)
     out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = planes.T
+    out[:, :width] = found.T
     return out.view("<u8")[:, 0], at + 1 + width * n
 
 
 def pack(ordered: np.ndarray, *more: np.ndarray) -> bytes:
     """Ascending numbers, and others that go with each."""
     steps = np.diff(ordered.astype(np.uint64), prepend=np.uint64(0))
-    return len(ordered).to_bytes(4, "little") + b"".join(map(_planes, (steps, *more)))
+    return len(ordered).to_bytes(4, "little") + b"".join(map(planes, (steps, *more)))
 
 
 def unpack(raw: bytes, more: int = 0) -> list[np.ndarray]:
@@ -42,8 +43,8 @@ def unpack(raw: bytes, more: int = 0) -> list[np.ndarray]:
     n = int.from_bytes(raw[:4], "little")
     out, at = [], 4
     for _ in range(1 + more):
-        values, at = _values(raw, at, n)
-        out.append(values)
+        found, at = values(raw, at, n)
+        out.append(found)
     out[0] = np.cumsum(out[0], dtype=np.uint64)
     return out
 

@@ -109,8 +109,9 @@ def test_every_word_counts_however_many_there_are(session, docs):
 
 
 @pytest.mark.parametrize("share", [0.0, 0.05, 1.0])
-def test_frequent_pairs_and_joined_ones_add_up(session, docs, monkeypatch, share):
-    monkeypatch.setattr(ce, "HOT_SHARE", share)
+def test_hot_words_and_parts_do_not_matter(session, docs, monkeypatch, share):
+    monkeypatch.setattr(ce, "HOT_SHARE", max(share, 1e-6))
+    monkeypatch.setattr(ce, "PART_BYTES", 40)
     rows = [*ROWS, (1, ROWS[0][1]), (None, "the cat sat")]
     labels = session.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
     found = ce.score(docs(rows), labels).collect()
