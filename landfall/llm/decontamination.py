@@ -340,11 +340,17 @@ def is_contaminated(n_words: Column, hits: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Documents that are not contaminated, with all their columns."""
-    found = find_items(docs, benchmark, width)
-    bad = found.where(is_contaminated(F.col("n_words"), n_hit())).select("doc_id")
-    bad = bad.where("doc_id is not null").distinct()
-    return without(docs, materialize(docs.sparkSession, bad, "contaminated"), "doc_id")
+    """Documents that are not contaminated, with all their columns.
+
+    Rows are judged by their text, so rows that share an id, or have none, do not
+    share a verdict. A NULL text has no words and stays.
+    """
+    own = "__text_mark"
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    found = find_items(rows.select(F.col(own).alias("doc_id"), "text"), benchmark, width)
+    bad = found.where(is_contaminated(F.col("n_words"), n_hit()))
+    bad = bad.select(F.col("doc_id").alias(own)).distinct()
+    return without(rows, materialize(docs.sparkSession, bad, "contaminated"), own).drop(own)
 
 
 def search_near(index: DataFrame, phrases: Phrases, reach: int) -> DataFrame:

@@ -60,16 +60,26 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a long of the same 64 bits. NULL text is empty."""
+    """(doc_id, mark, fp): a hash of id and text, and the fingerprint.
+
+    The fingerprint is a long of the same 64 bits. A NULL text is an empty one.
+    """
 
     def run(batch: pa.RecordBatch):
         values = [fingerprint(text, shingle) for text in as_bytes(batch.column("text"))]
         yield {
             "doc_id": batch.column("doc_id"),
+            "mark": batch.column("mark"),
             "fp": pa.array(np.array(values, np.uint64).view(np.int64)),
         }
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), row_mark().alias("mark"), "text")
+    return arrow_map(rows, run, "doc_id long, mark long, fp long")
+
+
+def row_mark() -> Column:
+    """Tells rows apart by id and text, as an id may stand on several texts."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
 
 
 def block_masks(blocks: int, distance: int = DISTANCE) -> list[int]:
@@ -167,40 +177,58 @@ def pairs_within(frame: pd.DataFrame, distance: int) -> tuple[np.ndarray, np.nda
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """Every document with its fingerprint and component.
 
-    Returns ``doc_id``, ``fp``, ``component_id``: the smallest doc_id that links
-    of at most ``distance`` differing bits reach, itself included. Equal
-    fingerprints are one node, however many documents have them. Rows with a
-    NULL id get a fingerprint but no component, and repeated rows repeat in the
-    result; an empty table gives none.
+    Returns ``doc_id``, ``mark``, ``fp``, ``component``, a number of its own, and
+    ``component_id``: the smallest doc_id that links of at most ``distance``
+    differing bits reach, itself included. Equal fingerprints are one node, however many documents have them. An id on
+    several texts is as many documents. Rows with a NULL id get a fingerprint but
+    no component, and repeated rows repeat in the result; an empty table gives
+    none.
     """
     spark = docs.sparkSession
     prints = materialize(spark, fingerprints(docs, shingle), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).where("low is not null")
     nodes = materialize(spark, nodes, "nodes")
-    roots = components(near_links(nodes, distance), "simhash")
-    named = nodes.join(roots, nodes["rep"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "rep").alias("component_id")
+    roots = components(near_links(nodes.select(F.col("fp").alias("rep"), "fp"), distance), "simhash")
+    nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("component")
     )
+    nodes = materialize(spark, nodes, "linked")
+    least = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = nodes.join(least, "component").select("fp", "component", "component_id")
     found = prints.join(named, "fp", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return found.select("doc_id", "fp", own.alias("component_id"))
+    known = F.col("doc_id").isNotNull()
+    return found.select(
+        "doc_id",
+        "mark",
+        "fp",
+        *[F.when(known, F.col(c)).alias(c) for c in ("component", "component_id")],
+    )
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component, that of the smallest id; NULL ids stay.
+    """One row of each component, of the smallest id; rows with a NULL id stay.
 
-    Rows that repeat an id are copies by that id: of those one stays as well.
+    Of several texts of that id in the component the one of least hash stays, and
+    of rows that repeat in id and text one. A row whose id also stands on other
+    texts is judged by its own text.
     """
     spark = docs.sparkSession
-    found = materialize(spark, near_duplicates(docs, distance, shingle), "components")
-    dropped = materialize(spark, found.where("doc_id != component_id").select("doc_id"), "dropped")
-    left = without(docs, dropped, "doc_id")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    again = materialize(spark, again.select("doc_id"), "again")
-    if again.isEmpty():
-        return left
-    repeated = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(left, again, "doc_id").unionByName(repeated)
+    found = near_duplicates(docs, distance, shingle).where("doc_id is not null")
+    found = found.groupBy("doc_id", "mark", "component").count()
+    found = materialize(spark, found, "components")
+    kept = found.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("kept"))
+    judged = found.join(kept, "component")
+    other = F.struct("doc_id", "mark") != F.col("kept")
+    own = "__row_mark"
+    dropped = materialize(spark, judged.where(other).select(F.col("mark").alias(own)), "dropped")
+    again = judged.where(~other & (F.col("count") > 1)).select(F.col("mark").alias(own))
+    again = materialize(spark, again, "again")
+    rows = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), row_mark()))
+    left = without(rows, dropped, own)
+    if not again.isEmpty():
+        repeated = left.join(again, own, "left_semi").dropDuplicates([own])
+        left = without(left, again, own).unionByName(repeated)
+    return left.drop(own)
 
 
 def hex_print(column: str = "fp") -> Column:

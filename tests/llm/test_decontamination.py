@@ -118,9 +118,18 @@ def test_clean_documents_stay(session, docs):
     items = session.createDataFrame(ITEMS, "item_id long, text string")
     kept = dc.decontaminate(docs(ROWS), items)
     assert kept.columns == docs([]).columns
-    bad = {row[0] for row in brute_force(ROWS, ITEMS) if row[-1]}
-    expected = [i for i, _ in ROWS if i is None or i not in bad]
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(expected, key=str)
+    numbered = [(k, text) for k, (_, text) in enumerate(ROWS)]
+    bad = {row[0] for row in brute_force(numbered, ITEMS) if row[-1]}
+    expected = [row for k, row in enumerate(ROWS) if k not in bad]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_rows_of_one_id_and_of_none_are_judged_by_their_texts(session, docs):
+    items = session.createDataFrame([(1, "b c d e f g")], "item_id long, text string")
+    dirty, clean = "a b c d e f g h", "some other words"
+    rows = [(1, dirty), (1, clean), (None, dirty), (None, clean), (2, dirty), (None, None), (3, "")]
+    kept = dc.decontaminate(docs(rows), items).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, clean), (None, clean), (None, None), (3, "")], key=str)
 
 
 def test_nothing_to_search(session, docs):

@@ -79,6 +79,15 @@ def test_odd_rows(session, docs):
     assert [(r["doc_id"], r["host"]) for r in kept] == [(1, "x")]
 
 
+def test_an_id_on_several_texts_is_several_documents(session, docs):
+    one, two = " ".join(f"a{k}" for k in range(300)), " ".join(f"b{k}" for k in range(300))
+    rows = [(5, one), (5, two), (7, one + " "), (8, two + " "), (5, "other words stand here"), (1, one), (1, one)]
+    kept = simhash.keep_one(docs(rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, one), (5, two), (5, "other words stand here")])
+    found = simhash.near_duplicates(docs(rows)).collect()
+    assert {r["component_id"] for r in found if r["doc_id"] in (7, 8)} == {1, 5}
+
+
 def test_no_documents(session, docs):
     assert simhash.near_duplicates(docs([])).count() == 0
     assert simhash.keep_one(docs([])).count() == 0
