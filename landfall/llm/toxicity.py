@@ -22,8 +22,9 @@ from landfall.session import materialize
 # Labelled documents that a model is fitted on at most, those of smallest hash.
 # More than these change it little; fitting is then the same at any size.
 SAMPLE_ROWS = 20_000
-# Features of a category: those that tell its classes apart best.
-FEATURES = 768
+# Features of a category: those that tell its classes apart best. A bound on the
+# model, not on the rows; the README has what it costs.
+FEATURES = 2048
 LEAST_DOCS = 5
 FOLDS = 3
 CHAIN = ("low_quality", "toxic")
@@ -66,7 +67,7 @@ def fit(
     target: np.ndarray,
     width: int,
     l2: float = 1.0,
-    steps: int = 200,
+    steps: int = 300,
 ) -> np.ndarray:
     """Weights of features, earlier probabilities and bias, in this order.
 
