@@ -39,7 +39,9 @@ UNKNOWN, START = 0, 1
 # can be no more of them than one over it.
 HOT_SHARE = 2.0**-10
 # Bytes of text for each range of hashes.
-PART_BYTES = 24 << 20
+PART_BYTES = 8 << 20
+# Tasks of one shuffle; beyond, tasks get several ranges, one after the other.
+MOST_TASKS = 10_000
 
 CHUNKS = "doc_ids array<long>, target array<boolean>, counts array<int>, words binary, tokens binary"
 PIECES = "part long, chunk long, piece binary"
@@ -187,7 +189,8 @@ def word_sums(chunks: DataFrame, parts: int) -> DataFrame:
             out.append((part, -2, pack(distinct[top], heads[top])))
             yield _pieces(out)
 
-    sent = chunks.mapInArrow(send, PIECES).repartition("part").sortWithinPartitions("part")
+    sent = chunks.mapInArrow(send, PIECES).repartition(min(parts, MOST_TASKS), "part")
+    sent = sent.sortWithinPartitions("part")
     return materialize(chunks.sparkSession, sent.mapInArrow(add_up, PIECES), "word-sums")
 
 
@@ -253,7 +256,8 @@ def pair_sums(chunks: DataFrame, parts: int, hot: np.ndarray, ratio: float) -> D
                 at += size
             yield _pieces(out)
 
-    sent = chunks.mapInArrow(send, PIECES).repartition("part").sortWithinPartitions("part")
+    sent = chunks.mapInArrow(send, PIECES).repartition(min(2 * parts, MOST_TASKS), "part")
+    sent = sent.sortWithinPartitions("part")
     return materialize(chunks.sparkSession, sent.mapInArrow(add_up, PIECES), "pair-sums")
 
 
@@ -376,7 +380,7 @@ def score(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFr
         *[c for c in chunks.columns if c != "chunk"],
     )
     met = own.unionByName(answers_of(words, 1)).unionByName(answers_of(pairs, 2))
-    met = met.repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
+    met = met.repartition(min(parts, MOST_TASKS), "chunk").sortWithinPartitions("chunk", "kind", "part")
     found = met.mapInArrow(run, "doc_id long, n_words long, ce_target double, ce_background double")
     return found.withColumn("ce_difference", F.col("ce_target") - F.col("ce_background"))
 
