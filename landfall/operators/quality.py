@@ -105,13 +105,14 @@ def key_report_by_hash(df: DataFrame, key: Sequence[str], folder: str | None = N
     grouped by the key itself.
     """
     missing = functools.reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in key])
-    whole = df.agg(
-        F.count(F.lit(1)).alias("all_rows"), F.count_if(missing).alias("all_incomplete")
-    )
-    some = key_report(repeating_rows(df, key, folder), key)
-    return whole.join(F.broadcast(some)).select(
-        F.col("all_rows").alias("n_rows"),
-        (F.col("all_rows") - F.col("n_rows") + F.col("n_keys")).alias("n_keys"),
+    zero = F.lit(0).cast("long")
+    whole = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(missing).alias("n_incomplete"))
+    whole = whole.select("n_rows", F.col("n_rows").alias("n_keys"), zero.alias("n_duplicate_keys"), "n_incomplete")
+    some = key_report(repeating_rows(df, key, folder), key).select(
+        zero.alias("n_rows"),
+        (F.col("n_keys") - F.col("n_rows")).alias("n_keys"),
         "n_duplicate_keys",
-        F.col("all_incomplete").alias("n_incomplete"),
+        zero.alias("n_incomplete"),
     )
+    both = whole.unionByName(some)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])

@@ -1267,24 +1267,43 @@ def month_run(spark, folder):
         return materialize(spark, result, "result")
 
 
+def _whole_sql(measure: str) -> str:
+    """A measure as the table has it; NULL beside a half, where its last bits decide."""
+    near = f"abs(abs({measure} - trunc({measure})) - 0.5) < 1e-6"
+    return f"CASE WHEN NOT {near} THEN CAST(round({measure}) AS BIGINT) END"
+
+
+def _whole_measures_sql() -> str:
+    shown = [f"coalesce(CAST({_whole_sql(c)} AS VARCHAR), '')" for c in star.MEASURES[:-1]]
+    return f"concat_ws('|', {', '.join(shown)})"
+
+
 @query(f"""{BY_STATE_SQL}, raw_airports AS ({shapes.select_sql(AIRPORT_SHAPE, "customer")}),
   airports AS (SELECT {_AIRPORT_SQL} FROM raw_airports)
-SELECT 'city' AS kind, city AS key, state_code AS detail, race AS text, TRUE AS measures_hold
+SELECT 'city' AS kind, city AS key, state_code AS detail, race AS text, TRUE AS measures_hold,
+       {_whole_measures_sql()} AS measures
 FROM by_city
-UNION ALL SELECT 'state', state, NULL, race, TRUE FROM by_state
+UNION ALL SELECT 'state', state, NULL, race, TRUE, {_whole_measures_sql()} FROM by_state
 UNION ALL SELECT 'airport', ident, municipality,
-  concat_ws('|', {", ".join(schemas.AIRPORT.column_names)}), NULL FROM airports
+  concat_ws('|', {", ".join(schemas.AIRPORT.column_names)}), NULL, NULL FROM airports
 """)
 def month_dimensions(spark, folder):
     """The demography and airport tables that the monthly job has loaded.
 
-    A measure holds if it is the mean or sum of ``by_city`` and ``by_state``,
-    rounded to a whole number. On halves the last bits of a mean decide, which
-    depend on the order of addition.
+    Measures are shown as stored, but for those beside a half: there the last
+    bits of a mean decide, which depend on the order of addition, and a measure
+    holds if it is the mean or sum of ``by_city`` and ``by_state``, rounded.
     """
     by_city = demography_by_city(shapes.demography(spark, folder))
     by_city = materialize(spark, by_city, "city")
     measures = star.MEASURES[:-1]
+
+    def shown(column: str) -> Column:
+        exact = F.col(f"exact_{column}")
+        whole = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+        beside_half = F.abs(F.abs(exact - whole) - 0.5) < 1e-6
+        return F.coalesce(F.when(~beside_half, F.col(column).cast("bigint").cast("string")), F.lit(""))
+
     with _month_loaded(spark, folder) as tables:
         parts = []
         for kind, table, key, exact in (
@@ -1307,6 +1326,7 @@ def month_dimensions(spark, folder):
                     (F.col("state_code") if kind == "city" else F.lit(None).cast("string")).alias("detail"),
                     F.col("race").alias("text"),
                     functools.reduce(Column.__and__, near).alias("measures_hold"),
+                    F.concat_ws("|", *[shown(c) for c in measures]).alias("measures"),
                 )
             )
         airports = tables[schemas.AIRPORT.name].select(
@@ -1315,6 +1335,7 @@ def month_dimensions(spark, folder):
             F.col("municipality").alias("detail"),
             F.concat_ws("|", *schemas.AIRPORT.column_names).alias("text"),
             F.lit(None).cast("boolean").alias("measures_hold"),
+            F.lit(None).cast("string").alias("measures"),
         )
         result = functools.reduce(DataFrame.unionByName, [*parts, airports])
         return materialize(spark, result, "result")

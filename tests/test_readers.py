@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.operators.fact import clean_fact
-from landfall.schemas import RAW_FACT_SCHEMA
-from landfall.sources.readers import read_delimited, scan_fact
+from landfall.schemas import NUMERIC, RAW_FACT_SCHEMA
+from landfall.sources.readers import fact_text_schema, read_delimited, read_month, scan_fact
+from landfall.sources.writers import write_month
 
 SCHEMA = T.StructType([T.StructField("City", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -73,3 +74,15 @@ def test_facts_by_header_name(spark, tmp_path):
     row = clean_fact(raw).first()
     assert (row.i94mode, row.arrival_date, row.i94addr) == (2.0, "2016-04-01 00:00:00", "NA")
     assert raw.select(F.count("*")).first()[0] == 1
+
+
+def test_a_month_staged_as_text_keeps_line_breaks(spark, tmp_path):
+    names = [f.name for f in fact_text_schema()]
+    row = tuple(1 if f.dataType == NUMERIC else f"a\n\"{f.name}\", b" for f in fact_text_schema())
+    schema = ", ".join(f"{f.name} {'int' if f.dataType == NUMERIC else 'string'}" for f in fact_text_schema())
+    facts = spark.createDataFrame([row] * 3, schema)
+    path = write_month(facts, str(tmp_path), "sep19", format="csv")
+    rows = read_month(spark, path, "csv", multiline=True).select(*names).collect()
+    assert [tuple(r) for r in rows] == [row] * 3
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_month(spark, path, "csv").collect()
