@@ -252,8 +252,17 @@ def _search(
     asking = anchors.join(windows, "anchor").withColumn("part", part)
     stored = rows.withColumn("part", part)
     sizes = _sizes(stored, asking, dims)
+    # Blocks are small in bytes and large in work, so none should share a task
+    # while others idle: as many partitions as there are blocks, within bounds.
+    blocks = sizes.agg(F.sum(F.col("n_i").cast("long") * F.col("n_j"))).first()[0] or 1
+    if same_label:
+        stored, asking = stored.join(sizes, "part"), asking.join(sizes, "part")
+    else:  # all rows are one part
+        numbers = sizes.first() or {"n_i": 1, "n_j": 1}
+        numbers = {n: F.lit(numbers[n]).cast("int") for n in ("n_i", "n_j")}
+        stored, asking = stored.withColumns(numbers), asking.withColumns(numbers)
     none = F.lit(None)
-    left = stored.join(sizes, "part").select(
+    left = stored.select(
         "part",
         F.pmod(F.xxhash64("row"), F.col("n_i")).cast("int").alias("i"),
         _upto("n_j").alias("j"),
@@ -264,7 +273,7 @@ def _search(
         "vector",
         none.cast("array<struct<w:bigint,low:bigint,high:bigint>>").alias("windows"),
     )
-    right = asking.join(sizes, "part").select(
+    right = asking.select(
         "part",
         _upto("n_i").alias("i"),
         F.pmod(F.xxhash64("anchor"), F.col("n_j")).cast("int").alias("j"),
@@ -275,9 +284,6 @@ def _search(
         "vector",
         "windows",
     )
-    # Blocks are small in bytes and large in work, so none should share a task
-    # while others idle: as many partitions as there are blocks, within bounds.
-    blocks = sizes.agg(F.sum(F.col("n_i").cast("long") * F.col("n_j"))).first()[0] or 1
     placed = left.unionByName(right).repartition(min(blocks, MOST_TASKS), "part", "i", "j")
     placed = placed.sortWithinPartitions("part", "i", "j", "kind")
     run = functools.partial(_search_blocks, dims=dims, k=k, same_label=same_label)
