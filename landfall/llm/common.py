@@ -89,8 +89,10 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
-    """Rows with their words, text after text, and the number of words of each."""
+def word_chunks(
+    batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
+    """Rows of about ``size`` bytes with their words, text after text, and the number of words of each."""
 
     def words(held):
         rows = pa.Table.from_batches(held)
@@ -105,7 +107,7 @@ def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, p
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.nbytes for b in held) >= CHUNK_BYTES:
+        if sum(b.nbytes for b in held) >= size:
             yield words(held)
             held = []
     if held:

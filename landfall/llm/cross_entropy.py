@@ -38,7 +38,8 @@ UNKNOWN, START = 0, 1
 # Words at least so often, as a share of all, have their pairs dealt out. There
 # can be no more of them than one over it.
 HOT_SHARE = 2.0**-10
-# Bytes of text for each range of hashes.
+# Bytes of text of a chunk, and for each range of hashes.
+CHUNK_BYTES = 4 << 20
 PART_BYTES = 8 << 20
 # Tasks of one shuffle; beyond, tasks get several ranges, one after the other.
 MOST_TASKS = 10_000
@@ -73,7 +74,7 @@ def chunks_of(docs: DataFrame, known: pa.Array | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, words, counts in word_chunks(batches):
+        for rows, words, counts in word_chunks(batches, CHUNK_BYTES):
             coded = words.dictionary_encode()
             codes = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object), categorize=False)
             codes = np.maximum(short(codes, WORD_BITS), np.uint64(START + 1))
@@ -132,6 +133,14 @@ class Chunk:
         return part[order], first[order], second[order], *counts, place[of]
 
 
+def _each_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
+    """The chunks of stored rows with their numbers, one in memory at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            (row,) = batch.slice(k, 1).to_pylist()
+            yield row["chunk"], Chunk(row)
+
+
 def _cut(part: np.ndarray) -> Iterator[tuple[int, slice]]:
     bounds = np.flatnonzero(np.diff(part, prepend=-1))
     for a, b in zip(bounds, np.append(bounds[1:], len(part))):
@@ -162,15 +171,12 @@ def word_sums(chunks: DataFrame, parts: int) -> DataFrame:
     """
 
     def send(batches):
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                chunk = Chunk(row)
-                part = part_of(chunk.words, parts, WORD_BITS)
-                columns = [*chunk.word_counts(chunk.tokens), *chunk.word_counts(chunk.before)]
-                for n, some in _cut(part):
-                    out.append((n, row["chunk"], pack(chunk.words[some], *[c[some] for c in columns])))
-            yield _pieces(out)
+        for number, chunk in _each_chunk(batches):
+            part = part_of(chunk.words, parts, WORD_BITS)
+            columns = [*chunk.word_counts(chunk.tokens), *chunk.word_counts(chunk.before)]
+            yield _pieces(
+                [(n, number, pack(chunk.words[some], *[c[some] for c in columns])) for n, some in _cut(part)]
+            )
 
     def add_up(batches):
         for (part,), pieces in groups(batches, ("part",)):
@@ -219,14 +225,12 @@ def pair_sums(chunks: DataFrame, parts: int, hot: np.ndarray, ratio: float) -> D
     shared = chunks.sparkSession.sparkContext.broadcast(hot)
 
     def send(batches):
-        for batch in batches:
+        for number, chunk in _each_chunk(batches):
+            part, first, second, target, background, _ = chunk.pairs(shared.value, parts)
             out = []
-            for row in batch.to_pylist():
-                chunk = Chunk(row)
-                part, first, second, target, background, _ = chunk.pairs(shared.value, parts)
-                for n, some in _cut(part):
-                    u, v = chunk.words[first[some]], chunk.words[second[some]]
-                    out.append((n, row["chunk"], pack(u, v, target[some], background[some])))
+            for n, some in _cut(part):
+                u, v = chunk.words[first[some]], chunk.words[second[some]]
+                out.append((n, number, pack(u, v, target[some], background[some])))
             yield _pieces(out)
 
     def add_up(batches):
@@ -353,11 +357,13 @@ def score(docs: DataFrame, labels: DataFrame, size: int | None = None) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, pieces in groups(batches, ("chunk",)):
-            rows = [r for p in pieces for r in p.to_pylist()]
-            chunk = Chunk(rows[0])
-            answers = [[r["piece"] for r in rows[1:] if r["kind"] == kind] for kind in (1, 2)]
+            chunk = Chunk(pieces[0].slice(0, 1).to_pylist()[0])
+            answers: list[list[bytes]] = [[], [], []]
+            for piece in pieces:
+                for kind, raw in zip(piece["kind"].to_pylist(), piece["piece"].to_pylist()):
+                    answers[kind].append(raw)
             n = chunk.counts
-            found = losses(chunk, *answers) if len(chunk.tokens) else [np.empty(0)] * 2
+            found = losses(chunk, *answers[1:]) if len(chunk.tokens) else [np.empty(0)] * 2
             means = [np.bincount(chunk.owner, x, len(n)) / np.maximum(n, 1) for x in found]
             yield pa.RecordBatch.from_pydict(
                 {
