@@ -100,3 +100,56 @@ def test_threshold():
     scores, target = np.array([0.9, 0.8, 0.4, 0.1]), np.array([1, 1, 0, 0])
     assert toxicity.best_threshold(scores, target) == pytest.approx(0.6)
     assert toxicity.best_threshold(scores, np.zeros(4)) == float("inf")
+
+
+def plain_fit(x, target, l2=1.0):
+    """Penalised logistic regression by Newton steps; the last column is the bias."""
+    n, width = x.shape
+    w = np.zeros(width)
+    keep = np.append(np.full(width - 1, l2 / n), 0.0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - target) / n + keep * w
+        curve = (x * (p * (1 - p))[:, None]).T @ x / n + np.diag(keep + 1e-12)
+        w = w - np.linalg.solve(curve, slope)
+    return w
+
+
+def plain_chain(texts, targets):
+    """Probabilities of each category for each text, the chain fitted in plain numbers."""
+    words = [toxicity.distinct_features(t.encode()) for t in texts]
+    names = sorted({f for w in words for f in w if sum(f in v for v in words) >= toxicity.LEAST_DOCS})
+    x = np.array([[f in w for f in names] for w in words], float)
+    fold = np.arange(len(texts)) % toxicity.FOLDS
+    out_of_fold, in_turn = np.zeros((len(texts), 0)), np.zeros((len(texts), 0))
+    for target in targets:
+        one = np.ones((len(texts), 1))
+        train, use = np.hstack([x, out_of_fold, one]), np.hstack([x, in_turn, one])
+        out = np.zeros(len(texts))
+        for k in range(toxicity.FOLDS):
+            w = plain_fit(train[fold != k], target[fold != k])
+            out[fold == k] = 1 / (1 + np.exp(-train[fold == k] @ w))
+        w = plain_fit(train, target)
+        in_turn = np.column_stack([in_turn, 1 / (1 + np.exp(-use @ w))])
+        out_of_fold = np.column_stack([out_of_fold, out])
+    return in_turn
+
+
+def test_chain_equals_a_plain_one(session, docs):
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for k in range(90):
+        low, toxic = rng.random() < 0.4, rng.random() < 0.3
+        kinds = ["good fine calm"] + ["poor weak thin"] * low + ["awful nasty vile"] * toxic
+        rows.append((k, " ".join(rng.choice(" ".join(kinds).split(), 8))))
+        labels.append((k, int(not low), int(toxic)))
+    frame = session.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chain = toxicity.train(docs(rows), frame)
+    found = {r["doc_id"]: r for r in toxicity.score(docs(rows), chain).collect()}
+    targets = [np.array([1.0 - q for _, q, _ in labels]), np.array([float(t) for _, _, t in labels])]
+    expected = plain_chain([t for _, t in rows], targets)
+    for k, (low, toxic) in enumerate(expected):
+        assert found[k]["p_low_quality"] == pytest.approx(low, abs=0.01)
+        assert found[k]["p_toxic"] == pytest.approx(toxic, abs=0.01)
+        if abs(toxic - chain.threshold) > 0.01:
+            assert found[k]["toxic"] == (toxic >= chain.threshold)
