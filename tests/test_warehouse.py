@@ -187,7 +187,7 @@ def test_load_report_counts_misfits(spark):
 
 def files_per_month(folder):
     counts = {}
-    for file in folder.rglob("part-*.parquet"):
+    for file in folder.rglob("i94mon=*/part-*.parquet"):
         counts[file.parent] = counts.get(file.parent, 0) + 1
     return counts
 
