@@ -16,12 +16,14 @@ from pyspark.sql import types as T
 from landfall.functions.numbers import load_cast
 from landfall.operators.star import code_counts
 from landfall.schemas import FACT, LOAD_NAMES, NUMERIC, TABLES, Table
-from landfall.session import delete_path, materialize, path_exists, scratch_path
+from landfall.session import delete_path, materialize, path_exists, scratch_path, shuffles_into
 from landfall.sources.journal import Conflict, Journal, Month, Record
 
 
 # What folders of months are called.
 MONTHS = f"{FACT.name}.months"
+# Rows for each of the parts that a merge deals its facts into at first.
+MERGE_ROWS = 250_000
 
 
 def qualified(table: Table, database: str) -> str:
@@ -447,18 +449,28 @@ class PartialMerge:
         if touched:
             name = qualified(FACT, self.database)
             stored = self.spark.table(name).filter(_in_months(touched)).select(*FACT.storage_order)
-            keys = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
-            same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
-            new = self.given.join(keys, same, "left_anti").select(*FACT.storage_order)
+            new = self.new_rows(stored).select(*FACT.storage_order)
+            parts = 1 + (self.given.count() + stored.count()) // MERGE_ROWS
             before = {m: known[m].batches if m in known else () for m in touched}
             batches = {m: (*b, self.batch) for m, b in before.items()}
             try:
-                self.replacement.stage_months(stored.unionByName(new), touched, batches)
+                with shuffles_into(self.spark, parts):
+                    self.replacement.stage_months(stored.unionByName(new), touched, batches)
             except BaseException:
                 self.replacement.undo()
                 raise
         return True
 
+    def new_rows(self, stored: DataFrame) -> DataFrame:
+        """The given rows whose key no stored row has.
+
+        Stored keys are as many as the rows, though their files are small enough
+        to look like a table to broadcast: both sides are shuffled.
+        """
+        keys = stored.select(*[F.col(c).alias(f"stored_{c}") for c in FACT.key])
+        same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in FACT.key]
+        return self.given.join(keys.hint("merge"), same, "left_anti")
+
     def commit(self) -> bool | None:
         """Switch to the merged months; None if another writer came first."""
         try:

@@ -262,3 +262,35 @@ def test_key_checks(spark):
         "n_rows": 5, "n_keys": 4, "n_duplicate_keys": 1, "n_incomplete": 2,
     }
     assert key_report(frame.limit(0), ["k"]).first()["n_rows"] == 0
+
+
+def test_merge_shuffles_the_stored_keys(spark, database):
+    """However small their files look, stored keys are as many as the stored rows."""
+    month = (2016, 4)
+    warehouse.create_tables(spark, [schemas.FACT], database)
+    warehouse.load_months(fact_rows(spark, {month: 6}), [month], database)
+    merge = warehouse.PartialMerge(fact_rows(spark, {month: 9}), [month], database)
+    stored = spark.table(warehouse.qualified(schemas.FACT, database)).select(*schemas.FACT.storage_order)
+    new = merge.new_rows(stored)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(int(r["cicid"]) for r in new.collect()) == [6, 7, 8]
+    assert merge.run()
+
+
+def test_merge_deals_rows_into_parts_by_their_number(spark, database, monkeypatch):
+    month = (2016, 4)
+    warehouse.create_tables(spark, [schemas.FACT], database)
+    warehouse.load_months(fact_rows(spark, {month: 40}), [month], database)
+    monkeypatch.setattr(warehouse, "MERGE_ROWS", 4)
+    seen, name = [], "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    stage = warehouse.Replacement.stage_months
+
+    def noted(self, *arguments):
+        seen.append(spark.conf.get(name, None))
+        stage(self, *arguments)
+
+    monkeypatch.setattr(warehouse.Replacement, "stage_months", noted)
+    assert warehouse.append_new_rows(fact_rows(spark, {month: 60}), [month], database)
+    assert seen == ["26"] and spark.conf.get(name, None) is None
+    assert warehouse.read_table(spark, schemas.FACT, database).count() == 60
