@@ -154,14 +154,25 @@ def code_counts(
     facts: DataFrame, roles: Sequence[str] = tuple(ROLES), also: Sequence[str] = ()
 ) -> DataFrame:
     """Codes in use: ``role, code``, further columns, ``n_rows``; one pass over the facts."""
-    pairs = F.array(*[_coded(facts, r, ROLES[r].fact_key) for r in roles])
-    return (
-        facts.select(*also, F.explode(pairs).alias("pair"))
+    # Codes are counted as they are stored and get their text once for each count.
+    types = dict(schemas.FACT.columns)
+    pairs = []
+    for r in roles:
+        key = ROLES[r].fact_key
+        code = load_cast(F.col(key), facts.schema[key].dataType, types[key])
+        is_number = types[key] == schemas.NUMERIC
+        number = code if is_number else F.lit(None).cast(schemas.NUMERIC)
+        text = F.lit(None).cast("string") if is_number else code.cast("string")
+        pairs.append(F.struct(F.lit(r).alias("role"), number.alias("number"), text.alias("text")))
+    counts = (
+        facts.select(*also, F.explode(F.array(*pairs)).alias("pair"))
         .select(*also, "pair.*")
-        .filter(F.col("code").isNotNull())
-        .groupBy("role", "code", *also)
+        .filter("number IS NOT NULL OR text IS NOT NULL")
+        .groupBy("role", "number", "text", *also)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    code = F.coalesce(F.col("number").cast("string"), "text")
+    return counts.select("role", code.alias("code"), *also, "n_rows")
 
 
 def codes_without_table(

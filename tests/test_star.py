@@ -117,3 +117,21 @@ def test_snowflake_hops(spark, tables):
     cities = demography.withColumnRenamed("state", "city").withColumn("city", F.lit("ALCAN"))
     rows = star.ports_with_demography(tables[schemas.PORT.name], cities).collect()
     assert {r.i94port_code: r.city_count for r in rows} == {"ALC": "7", "ANC": None}
+
+
+def test_codes_are_counted_before_they_become_text(spark):
+    """Numbers and texts side by side; no code is turned into text for every row."""
+    facts = spark.range(30).selectExpr(
+        "CAST(id % 3 AS DECIMAL(18, 0)) AS i94cit",
+        "CASE WHEN id % 2 = 0 THEN CAST(id % 3 AS STRING) END AS i94port",
+    )
+    counts = star.code_counts(facts, ("citizenship", "port"))
+    assert sorted(tuple(r) for r in counts.collect()) == [
+        ("citizenship", "0", 10), ("citizenship", "1", 10), ("citizenship", "2", 10),
+        ("port", "0", 5), ("port", "1", 5), ("port", "2", 5),
+    ]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in plan.splitlines() if "Aggregate" in line)
+    assert "number" in grouped and "text" in grouped
+    empty = star.code_counts(facts.where("i94cit < 0"), ("citizenship", "port"))
+    assert empty.columns == ["role", "code", "n_rows"] and empty.count() == 0
