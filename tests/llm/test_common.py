@@ -2,11 +2,14 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from landfall.llm.common import (
+    BATCH_BYTES,
     components,
     group_bounds,
+    prepare,
     split_groups,
     stars,
     whole_groups,
@@ -78,3 +81,16 @@ def test_workers_find_the_package(session):
 
     root = os.path.dirname(os.path.dirname(landfall.__file__))
     assert root in session.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+
+
+def test_large_rows_go_to_python_few_at_a_time(session):
+    prepare(session)
+    rows = session.range(0, 40, 1, 1).selectExpr("repeat('x', 1000000) || id AS text")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "size": [batch.nbytes]})
+
+    found = rows.mapInArrow(run, "rows long, size long").collect()
+    assert sum(r["rows"] for r in found) == 40
+    assert max(r["size"] for r in found) <= BATCH_BYTES + 1_100_000
