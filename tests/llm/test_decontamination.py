@@ -1,6 +1,8 @@
 import hashlib
 import re
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +150,12 @@ def test_words_match_the_pattern():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_names_a_query(name):
     assert name in QUERIES
+
+
+def test_the_index_is_written_in_small_groups(session):
+    """A task does not hold a hundred segments before it writes the first."""
+    words = "concat_ws(' ', transform(sequence(1, 16000), x -> hex(xxhash64(id, x)))) AS text"
+    index = dc.build_index(session.range(0, 120, 1, 1).selectExpr("id AS doc_id", words), segment_words=16000)
+    files = [pq.ParquetFile(Path(f.removeprefix("file:"))).metadata for f in index.inputFiles()]
+    assert sum(f.num_rows for f in files) == 120
+    assert max(f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)) < 100
