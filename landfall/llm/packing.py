@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,10 +27,8 @@ from landfall.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-# Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 700_000
 # Bytes of text that are encoded at once, and so share their distinct words.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -53,17 +50,22 @@ class WordEncoder:
     sequence and the punctuation another, and lower case is all that the
     tokenizer's normalizer does to the letters. So such words are encoded once
     for all their cases and endings, many at a time; any other goes through the
-    whole tokenizer.
+    whole tokenizer. Nothing is remembered from call to call, so memory is
+    bounded by the texts of one, however many distinct words there are.
     """
 
-    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:;=>?@\\[-`{-~]*)")
+    PLAIN = (
+        "\\A(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)"
+        "(?P<tail>[!-&(-/:;=>?@\\[-`{-~]*)\\z"
+    )
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = normalizers.Sequence([])
+        # The same model, which is in memory once, behind other steps.
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.add_tokens([*self.whole.get_added_tokens_decoder().values()])
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
@@ -73,66 +75,77 @@ class WordEncoder:
         vocabulary = self.whole.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes | str, bytes] = {}
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end id; none for a NULL."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         counts = pc.list_value_length(words).to_numpy()
         coded = words.flatten().dictionary_encode()
+        del words
         if not len(coded):
             return [np.empty(0, np.uint32)] * len(texts)
-        lists = self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-        begins = np.concatenate([[0], np.cumsum(lengths)])
-        pool = np.frombuffer(b"".join(lists), "<u4")
-        codes = coded.indices.to_numpy()
-        sizes = lengths[codes]
-        ends = np.cumsum(sizes)
-        where = np.repeat(begins[codes] - (ends - sizes), sizes) + np.arange(ends[-1])
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        ids = pool[where]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-
-    def _look_up(self, words: list[bytes]) -> list[bytes]:
-        """Little-endian ids of each word."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        parts: dict[bytes, tuple[str, str]] = {}
-        other: list[bytes] = []
-        for word in words:
-            if word not in known:
-                plain = self.PLAIN.fullmatch(word.decode("utf-8", "replace"))
-                if plain:
-                    parts[word] = plain[1].lower(), plain[2]
-                else:
-                    other.append(word)
-        self._encode_letters([w for w in dict.fromkeys(p[0] for p in parts.values()) if w not in known])
-        self._encode_whole([t for t in dict.fromkeys(p[1] for p in parts.values()) if t and t not in known])
-        self._encode_whole(other)
-        for word, (letters, tail) in parts.items():
-            known[word] = known[letters] + known[tail] if tail else known[letters]
-        return [known[w] for w in words]
-
-    def _encode_whole(self, words: list) -> None:
-        texts = [w if isinstance(w, str) else w.decode("utf-8", "replace") for w in words]
-        for word, code in zip(words, self.whole.encode_batch_fast(texts, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, "<u4").tobytes()
-
-    def _encode_letters(self, words: list[str]) -> None:
+        pool, lengths = self._distinct(coded.dictionary)
+        ids, sizes = _gathered(pool, lengths, coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each has."""
+        found = pc.extract_regex(words, self.PLAIN)
+        plain = found.is_valid()
+        found, other = found.filter(plain), words.filter(pc.invert(plain))
+        letters = pc.utf8_lower(found.field("letters")).dictionary_encode()
+        tails = found.field("tail").dictionary_encode()
+        pools = [
+            self._encode_letters(letters.dictionary),
+            self._encode_whole(tails.dictionary),
+            self._encode_whole(other),
+        ]
+        sizes = [len(p[1]) for p in pools]
+        # The last entry is empty, the second part of words that have one only.
+        pool, lengths = (np.concatenate(x) for x in zip(*pools, (pools[0][0][:0], np.zeros(1, np.int64))))
+        parts = np.empty((len(words), 2), np.int64)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        parts[is_plain, 0] = letters.indices.to_numpy()
+        parts[is_plain, 1] = tails.indices.to_numpy() + sizes[0]
+        parts[~is_plain, 0] = np.arange(sizes[2]) + sizes[0] + sizes[1]
+        parts[~is_plain, 1] = sum(sizes)
+        ids, both = _gathered(pool, lengths, parts.reshape(-1))
+        return ids, both.reshape(-1, 2).sum(axis=1)
+
+    def _encode_whole(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        out, lengths = [np.empty(0, np.uint32)], []
+        for first in range(0, len(words), 1000):
+            some = words.slice(first, 1000).cast(pa.large_binary()).to_pylist()
+            texts = [w.decode("utf-8", "replace") for w in some]
+            for code in self.whole.encode_batch_fast(texts, add_special_tokens=False):
+                out.append(np.array(code.ids, np.uint32))
+                lengths.append(len(out[-1]))
+        return np.concatenate(out), np.array(lengths, np.int64)
+
+    def _encode_letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        out, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for first in range(0, len(words), 1000):
-            some = words[first : first + 1000]
-            code = self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(code.ids, "<u4")
+            some = words.slice(first, 1000)
+            code = self.letters.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0]
+            ids = np.array(code.ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(some):  # not a vocabulary that marks word ends
-                self._encode_whole(some)
-                continue
-            begins = np.concatenate([[0], ends[:-1]])
-            raw = ids.tobytes()
-            for word, a, b in zip(some, (4 * begins).tolist(), (4 * ends).tolist()):
-                self.known[word] = raw[a:b]
+                ids, sizes = self._encode_whole(some)
+            else:
+                sizes = np.diff(ends, prepend=0)
+            out.append(ids)
+            lengths.append(sizes)
+        return np.concatenate(out), np.concatenate(lengths)
+
+
+def _gathered(pool: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What stands in ``pool`` for each of the codes, in turn, and how much."""
+    begins = (np.cumsum(lengths) - lengths).astype(np.int32)
+    sizes = lengths[codes]
+    where = np.repeat(begins[codes] - (np.cumsum(sizes) - sizes), sizes)
+    where += np.arange(len(where))
+    return pool[where], sizes
 
 
 def token_pieces(

@@ -35,6 +35,34 @@ def test_word_by_word_ids_are_those_of_whole_texts(whole):
     assert len(ids[-1]) == 0
 
 
+def test_encoder_keeps_nothing_between_calls():
+    """A worker's memory must not grow with the number of distinct words."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    encoder = packing.WordEncoder(packing.default_tokenizer())
+    rng = random.Random(4)
+    encoder.ids(pa.array(["warm up!"]))
+    tracemalloc.start()
+    for _ in range(3):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=9)) + "." for _ in range(20_000)]
+        encoder.ids(pa.array([" ".join(words)]))
+        del words
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1 << 20
+
+
+def test_latin_letters_are_encoded_as_in_a_text(whole):
+    import pyarrow as pa
+
+    words = [f"a{chr(letter)}B," for letter in range(0xC0, 0x180)]
+    ids = packing.WordEncoder(packing.default_tokenizer()).ids(pa.array(words))
+    for word, found in zip(words, ids):
+        assert found.tolist() == whole.encode(word, add_special_tokens=False).ids
+
+
 def check_plan(sizes, capacity):
     plan = packing.plan_packing(Counter(sizes), capacity)
     sequences = {}
