@@ -15,6 +15,7 @@ from landfall.llm.common import (
     as_bytes,
     components,
     group_bounds,
+    in_few_files,
     split_groups,
     stars,
     whole_groups,
@@ -188,11 +189,12 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
     prints = materialize(spark, fingerprints(docs, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).where("low is not null")
     nodes = materialize(spark, nodes, "nodes")
+    count = nodes.count()
     roots = components(near_links(nodes.select(F.col("fp").alias("rep"), "fp"), distance), "simhash")
     nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("component")
     )
-    nodes = materialize(spark, nodes, "linked")
+    nodes = materialize(spark, in_few_files(nodes, count), "linked")
     least = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
     named = nodes.join(least, "component").select("fp", "component", "component_id")
     found = prints.join(named, "fp", "left")

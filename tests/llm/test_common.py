@@ -94,3 +94,41 @@ def test_large_rows_go_to_python_few_at_a_time(session):
     found = rows.mapInArrow(run, "rows long, size long").collect()
     assert sum(r["rows"] for r in found) == 40
     assert max(r["size"] for r in found) <= BATCH_BYTES + 1_100_000
+
+
+def test_rounds_of_few_links_are_few_files(session, monkeypatch):
+    """Parts of a shuffle that nothing joins are not a file each in every round."""
+    from landfall.llm import common
+
+    files = []
+
+    def stored(*args, **options):
+        out = common_materialize(*args, **options)
+        files.append(len(out.inputFiles()))
+        return out
+
+    common_materialize = common.materialize
+    monkeypatch.setattr(common, "materialize", stored)
+    cores = session.sparkContext.defaultParallelism
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [session.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, (str(5 * cores), "false")):
+            session.conf.set(name, value)
+        links = [(k, k + 1) for k in range(300) if k % 30]
+        found = components(session.createDataFrame(links, "a long, b long")).collect()
+    finally:
+        for name, value in zip(names, before):
+            session.conf.set(name, value)
+    assert {r["node"]: r["root"] for r in found} == components_of(links, {n for link in links for n in link})
+    assert len(files) > 2 and max(files[1:]) <= cores
+
+
+def test_many_links_are_many_parts(session, monkeypatch):
+    from landfall.llm import common
+
+    monkeypatch.setattr(common, "FILE_LINKS", 10)
+    cores = session.sparkContext.defaultParallelism
+    rows = session.range(0, 1000, 1, 200)
+    assert common.in_few_files(rows, 1000).rdd.getNumPartitions() == max(cores, 100)
+    assert common.in_few_files(rows, 0).rdd.getNumPartitions() == cores
