@@ -14,6 +14,25 @@ def kept(text):
     return [b for b, place in html_text.parse(text).blocks if place]
 
 
+def test_all_of_a_page_is_held_against_the_runs_of_its_host():
+    notice = "please note that this site is best seen in large windows only thank you"
+    sources = [
+        f"<article><p>story {notice}</p></article><nav>{notice}</nav>",
+        f"<div>{notice}</div><article><p>another story</p></article>",
+        f"<main><p>{notice} indeed</p><article>a tale</article></main>",
+        f"<p>{notice}</p><p>open text</p>",
+        "<p>few words</p>",
+        "",
+    ]
+    streams = [html_text.stream(html_text.parse(s)) for s in sources]
+    names = np.sort(html_text.run_places([notice.split()], 8)[0])
+    covered = html_text.boilerplate(streams, [names] * len(streams), 8)
+    assert [len(c) for c in covered] == [len(s) for s in streams]
+    found = [[t for t, c in zip(s, taken.tolist()) if c] for s, taken in zip(streams, covered)]
+    assert found == [notice.split() * 2] + [notice.split()] * 3 + [[], []]
+    assert not any(c.any() for c in html_text.boilerplate(streams, [names[:0]] * len(streams), 8))
+
+
 @pytest.mark.parametrize(
     "source, blocks",
     [
